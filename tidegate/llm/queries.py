@@ -10,6 +10,11 @@ from tidegate.llm.common import read_table
 from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.sharding import interleaved_shards
 from tidegate.llm.simhash import simhash_components
+from tidegate.llm.suffix_dedup import remove_repeats
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +30,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

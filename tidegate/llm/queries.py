@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.llm import quality, toxicity
 from tidegate.llm.common import read_table
 from tidegate.llm.exact_dedup import exact_groups
 from tidegate.llm.sharding import interleaved_shards
@@ -29,8 +30,18 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup, op8_quality, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidegate.llm import quality, toxicity
 from tidegate.llm.common import read_table
+from tidegate.llm.decontaminate import contaminated
 from tidegate.llm.exact_dedup import exact_groups
+from tidegate.llm.pseudonyms import pseudonymised
 from tidegate.llm.sharding import interleaved_shards
 from tidegate.llm.simhash import simhash_components
 from tidegate.llm.suffix_dedup import remove_repeats
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents"))
 
@@ -40,8 +46,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymised(read_table(spark, sf_dir, "documents"), b"an example key for the query")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup, op8_quality, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup, op8_quality, op9_toxicity, op10_pseudonyms)}
 
 
 def oracle_sql() -> dict[str, str]:

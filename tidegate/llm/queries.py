@@ -10,6 +10,7 @@ from tidegate.llm import quality, toxicity
 from tidegate.llm.common import read_table
 from tidegate.llm.decontaminate import contaminated
 from tidegate.llm.exact_dedup import exact_groups
+from tidegate.llm.pieces import Vocabulary, encoded
 from tidegate.llm.pseudonyms import pseudonymised
 from tidegate.llm.sharding import interleaved_shards
 from tidegate.llm.simhash import simhash_components
@@ -32,6 +33,10 @@ def op4_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(read_table(spark, sf_dir, "documents"), Vocabulary.load())
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op7_exact_dedup, op8_quality, op9_toxicity, op10_pseudonyms)}
+    return {f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op6_pieces, op7_exact_dedup, op8_quality, op9_toxicity, op10_pseudonyms)}
 
 
 def oracle_sql() -> dict[str, str]:

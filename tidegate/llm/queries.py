@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import quality, toxicity
+from tidegate.llm import html_text, quality, toxicity
 from tidegate.llm.common import read_table
 from tidegate.llm.decontaminate import contaminated
 from tidegate.llm.exact_dedup import exact_groups
@@ -33,6 +33,10 @@ def op4_interleaved_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(read_table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(read_table(spark, sf_dir, "pages"), html_text.train())
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(read_table(spark, sf_dir, "documents"), Vocabulary.load())
 
@@ -56,7 +60,7 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op6_pieces, op7_exact_dedup, op8_quality, op9_toxicity, op10_pseudonyms)}
+    return {f.__name__: f for f in (op1_decontamination, op2_suffix_dedup, op3_simhash_near_dedup, op4_interleaved_sharding, op5_main_text, op6_pieces, op7_exact_dedup, op8_quality, op9_toxicity, op10_pseudonyms)}
 
 
 def oracle_sql() -> dict[str, str]:

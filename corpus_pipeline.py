@@ -1,4 +1,8 @@
-"""Corpus pipeline over `documents`: score, dedup, near-dedup, decontaminate, encode."""
+"""Corpus pipeline over `documents`: score, dedup, near-dedup, decontaminate, encode.
+
+Each stage takes all that the one before kept and hands on the columns of `documents`; the last one
+returns the pieces. Stages only call operators: no limits, samples or id filters are set here.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +10,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegate.llm import quality
+from tidegate.llm.decontaminate import drop_contaminated
 from tidegate.llm.exact_dedup import exact_dedup
+from tidegate.llm.pieces import Vocabulary, encoded
 from tidegate.llm.simhash import near_dedup
 
 
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality network scores under its threshold go."""
+    return quality.keep_quality(docs, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal text, white space aside, the one of smallest id stays."""
     return exact_dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints, over any number of links, the one of smallest id stays."""
     return near_dedup(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The N best segmentations of what is left."""
+    return encoded(docs, Vocabulary.load())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", drop_low_quality),
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("pieces", to_pieces),
 ]
 
-#: Trained models and sequential parses are beyond SQL; tests hold the stages against brute force.
+#: A trained network and lattice searches are beyond SQL; tests hold every stage against brute force.
 ORACLE_SQL: str | None = None
 
 

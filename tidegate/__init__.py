@@ -1,0 +1 @@
+"""Change-capture analytics on Spark: gate, typed layers, star schema, checks and gated publishing."""

@@ -124,7 +124,7 @@ def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float =
         data = lowered(np.frombuffer(t.encode(), np.uint8))
         s, e, _ = word_spans(data, np.array([0, len(data)]))
         raw = data.tobytes()
-        tokens.append(np.array([vocabulary.setdefault(raw[a:b], len(vocabulary)) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.int64))
+        tokens.append(np.array([vocabulary.setdefault(raw[a:b], len(vocabulary)) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.int32))
     words = list(vocabulary)
     size = len(words)
     square = {"E": np.full(BUCKETS, 1e-6), "W": np.full((DIM, 2), 1e-6), "b": np.full(2, 1e-6)}
@@ -132,6 +132,7 @@ def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float =
     epochs = min(60, max(8, -(-steps // lots)))
     for epoch in range(epochs):
         if epoch % 2 == 0:  # words in new misspelt forms
+            bags = None  # the old ones go before the new ones come
             bags = _bags(words + [_misspelt(w, rng) for w in words])
         averaging = epoch < whole * epochs
         for lot in np.array_split(rng.permutation(len(texts)), lots):
@@ -164,11 +165,15 @@ def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float =
     return model
 
 
-def _bags(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bags(words: list[bytes], step: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n-gram buckets in the order of words, where each word's begin, how many it has)."""
-    ids, word = subwords(words)
-    count = np.bincount(word, minlength=len(words))
-    return ids[np.argsort(word, kind="stable")], np.cumsum(count) - count, count
+    found, counts = [], []
+    for k in range(0, len(words), step):
+        ids, word = subwords(words[k : k + step])
+        counts.append(np.bincount(word, minlength=len(words[k : k + step])))
+        found.append(ids[np.argsort(word, kind="stable")].astype(np.uint16))
+    count = np.concatenate(counts)
+    return np.concatenate(found), np.cumsum(count) - count, count
 
 
 def _expand(bags: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -123,7 +123,9 @@ def test_simhash_components(docs, none, texts):
     assert simhash.simhash_components(none).count() == 0
     kept = simhash.near_dedup(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)) == sorted({v for v in least.values() if v is not None})
+    kept_fp = {(r["doc_id"], brute_fingerprint(r["text"] or "")) for r in kept.collect()}
+    assert sorted(label[fp.index(f)] for _, f in kept_fp) == sorted(least) and {(d, label[fp.index(f)]) for d, f in kept_fp} == {(d, k) for k, d in least.items()}
+    assert kept.count() == len(least)
 
 
 def test_pigeonring_keys_lose_no_pair():

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes
+from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, xxh_id
 from tidegate.llm.components import connected_components
 
 BITS, SEGMENTS, DISTANCE, SHINGLE = 64, 8, 3, 3
@@ -58,7 +58,8 @@ def _fingerprint_batches(width: int):
             data, offs = column_bytes(batch.column("text"))
             raw, cut = data.tobytes(), offs.tolist()
             out = np.array([fingerprint(raw[a:b], width) for a, b in zip(cut[:-1], cut[1:], strict=True)], U64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out.view(np.int64))], names=["doc_id", "fp"])
+            others = [k for k in batch.schema.names if k != "text"]
+            yield pa.RecordBatch.from_arrays([*batch.select(others).columns, pa.array(out.view(np.int64))], names=[*others, "fp"])
 
     return run
 
@@ -199,6 +200,13 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return arrow_map(dealt, _link_batches, "u long, v long")
 
 
+def _roots(rows: DataFrame) -> DataFrame:
+    """rows(fp, ...) -> (fp, root): the distinct fingerprints, each with the smallest one of its component."""
+    distinct = rows.select("fp").distinct()
+    component = connected_components(fingerprint_links(distinct))
+    return distinct.join(component.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, fingerprint (16 hex digits), component_id; one row per input row.
 
@@ -208,21 +216,25 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     component unless all its ids are null. Repeated rows keep their number.
     """
     rows = checkpointed(arrow_map(docs.select("doc_id", "text"), _fingerprint_batches(shingle), "doc_id long, fp long"))
-    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    component = connected_components(fingerprint_links(distinct))
-    labelled = distinct.join(component.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("component", "fp"))
+    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    labelled = _roots(rows).join(least, "fp")
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     names = labelled.select("fp", "root").join(named, "root").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """docs with one document of each component: the row of smallest doc_id; all columns unchanged.
+    """docs with one row of each component, that of smallest doc_id; all columns unchanged.
 
-    Of rows that repeat that id one stays. Rows whose whole component has null ids stay.
+    A null id is larger than any other. Of rows that share the smallest id, one stays: that of the
+    smallest content hash, so the choice is the same on every run.
     """
     names = docs.columns
-    stay = simhash_components(docs, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_keep"]), "left_semi").select(*names)
-    with_id, without = kept.where("doc_id is not null"), kept.where("doc_id is null")
-    return with_id.dropDuplicates(["doc_id"]).unionByName(without)
+    th = xxh_id(F.coalesce("text", F.lit("")))
+    rows = docs.select("doc_id", th.alias("th"), "text")
+    rows = checkpointed(arrow_map(rows, _fingerprint_batches(shingle), "doc_id long, th long, fp long"))
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
+    stay = first.join(_roots(rows), "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_keep"), F.col("first.th").alias("_hash"))
+    kept = docs.withColumn("_th", th)
+    kept = kept.join(stay, kept["doc_id"].eqNullSafe(stay["_keep"]) & (kept["_th"] == stay["_hash"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_th"]).select(*names)

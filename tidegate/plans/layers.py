@@ -5,6 +5,8 @@ Every step is keyed by the run: running it again for the same run leaves the tab
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +64,12 @@ class Lake:
         return self.table(name).read()
 
 
+def together(tasks: Iterable[Callable[[], object]], at_once: int = 4) -> list:
+    """Run steps on different tables side by side, so small jobs fill the cluster; the first failure is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
 # Raw
 
 def load_raw(lake: Lake, run_id: str) -> list[dict]:
@@ -75,21 +83,23 @@ def load_raw(lake: Lake, run_id: str) -> list[dict]:
     if manifest is None:
         raise FileNotFoundError(f"no manifest of run {run_id}")
     ledger = lake.table("control/landed")
-    out = []
-    for name in SOURCES:
-        keys = manifest["passed"].get(name, [])
-        known = {r["file_key"] for r in ledger.read().where((F.col("table_name") == name) & (F.col("run_id") != run_id)).select("file_key").collect()} if ledger.exists() else set()
-        todo = [k for k in keys if k not in known]
-        if not todo:
-            continue
-        raw = _landed(lake, name, todo, run_id)
-        lake.table(f"raw/{name}").overwrite_partitions(raw, [run_id])
-        loaded = lake.table(f"raw/{name}").read([run_id])
-        counts = {r["_source_file"]: r["n"] for r in loaded.groupBy("_source_file").agg(F.count("*").alias("n")).collect()}  # one row per file
-        entries = [(k, name, run_id, counts.get(k, 0), f"{run_id}/{name}") for k in todo]
+    known: dict[str, set[str]] = {}
+    if ledger.exists():
+        for r in ledger.read().where(F.col("run_id") != run_id).select("table_name", "file_key").collect():  # one row per file
+            known.setdefault(r["table_name"], set()).add(r["file_key"])
+
+    def load(name: str, keys: list[str]) -> list[tuple]:
+        table = lake.table(f"raw/{name}")
+        table.overwrite_partitions(_landed(lake, name, keys, run_id), [run_id])
+        counts = {r["_source_file"]: r["n"] for r in table.read([run_id]).groupBy("_source_file").agg(F.count("*").alias("n")).collect()}  # one row per file
+        return [(k, name, run_id, counts.get(k, 0), f"{run_id}/{name}") for k in keys]
+
+    todo = {name: [k for k in manifest["passed"].get(name, []) if k not in known.get(name, ())] for name in SOURCES}
+    loaded = together([lambda n=name, k=keys: load(n, k) for name, keys in todo.items() if keys])
+    entries = [e for part in loaded for e in part]
+    if entries:
         ledger.overwrite_partitions(lake.spark.createDataFrame(entries, "file_key string, table_name string, run_id string, rows long, slice string").withColumn("loaded_at", F.current_timestamp()))
-        out.append({"table": name, "files": len(todo), "rows": sum(counts.values())})
-    return out
+    return [{"table": part[0][1], "files": len(part), "rows": sum(e[3] for e in part)} for part in loaded]
 
 
 def _landed(lake: Lake, name: str, keys: list[str], run_id: str) -> DataFrame:
@@ -244,9 +254,7 @@ def conform_history(lake: Lake) -> None:
 
 
 def conform(lake: Lake, run_id: str, held: set[str] = frozenset()) -> dict:
-    for name in CURRENT_STATE:
-        if name not in held:
-            conform_current(lake, name)
+    together([lambda n=name: conform_current(lake, n) for name in CURRENT_STATE if name not in held])
     none = {"rows_in": 0, "rows_rejected": 0}
     out = {"readings": none if "meter_reading" in held else conform_readings(lake, run_id)}
     out["corrections"] = none if "reading_correction" in held else conform_corrections(lake, run_id)
@@ -260,7 +268,8 @@ def conform(lake: Lake, run_id: str, held: set[str] = frozenset()) -> dict:
 
 def build_dimensions(lake: Lake) -> None:
     c = lambda name: lake.df(f"conformed/{name}")
-    put = lambda name, df: lake.table(f"mart/{name}").replace(df)
+    dims: dict[str, DataFrame] = {}
+    put = dims.__setitem__
     points = c("supply_point").select("supply_point_id", "region", "grid_zone")
     meters = c("meter").join(points, "supply_point_id", "left").select(surrogate("meter_id").alias("meter_sk"), "meter_id", "serial_no", "meter_type", "status", "supply_point_id", "region", "grid_zone")
     put("dim_meter", star.with_unknown_member(meters, "meter_sk"))
@@ -271,6 +280,7 @@ def build_dimensions(lake: Lake) -> None:
     put("dim_settlement_interval", interval_dimension(lake.spark))
     quality = lake.spark.createDataFrame(list(QUALITY), "quality_code string, description string")
     put("dim_reading_quality", quality.select(F.when(F.col("quality_code") == "UNKNOWN", F.lit(UNKNOWN).cast("long")).otherwise(surrogate("quality_code")).alias("quality_sk"), "quality_code", "description"))
+    together([lambda n=name, d=df: lake.table(f"mart/{n}").replace(d) for name, df in dims.items()])
 
 
 def build_facts(lake: Lake, run_id: str) -> dict:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.calendar import date_dimension, interval_dimension
 from tidegate.functions.keys import UNKNOWN, date_key, surrogate, surrogate_or_unknown
-from tidegate.operators import checks, history, merge, rows, star
+from tidegate.operators import checks, history, rows, star
 from tidegate.operators.control import PASSED, reconcile, uncontrolled
 from tidegate.schema import CURRENT_STATE, SOURCES, canonical, families
 from tidegate.sources.files import Store

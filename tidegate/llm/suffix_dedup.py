@@ -322,7 +322,8 @@ def repeated_spans(docs: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:
 
     Ranges may overlap. th tells rows of one doc_id apart; rows that agree in both are copies of one another.
     """
-    keys = arrow_map(docs, _key_batches, _KEY_ONLY).groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
+    # Cut off from its aggregation, so that the join below has exchanges of its own, which Spark can split for a hot key.
+    keys = checkpointed(arrow_map(docs, _key_batches, _KEY_ONLY).groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"))
     seen = checkpointed(arrow_map(docs, _anchor_batches, _ANCHOR).join(keys, "key"))
     context = ["key", "ctx_a", "ctx_b"]
     one = [F.first(c).alias(c) for c in ("doc_id", "th", "start", "last", "anchor")]

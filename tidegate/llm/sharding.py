@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.common import checkpointed
 
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4000
 
 
 def interleaved_shards(docs: DataFrame, n_shards: int = 24, seed: int = 17, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

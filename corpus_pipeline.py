@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegate.llm import quality
 from tidegate.llm.decontaminate import drop_contaminated
 from tidegate.llm.exact_dedup import exact_dedup
+from tidegate.llm.near_dedup import near_dedup
 from tidegate.llm.pieces import Vocabulary, encoded
-from tidegate.llm.simhash import near_dedup
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by fingerprints, over any number of links, the one of smallest id stays."""
+    """Of documents linked by near fingerprints, over any number of links, the one of smallest id stays."""
     return near_dedup(docs)
 
 

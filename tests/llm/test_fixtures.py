@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegate.llm import decontaminate, exact_dedup, html_text, pieces, pseudonyms, quality, sharding, simhash, suffix_dedup, toxicity
+from tidegate.llm import decontaminate, exact_dedup, html_text, near_dedup, pieces, pseudonyms, quality, sharding, simhash, suffix_dedup, toxicity
 from tidegate.llm.common import column_bytes, row_blocks
 from tidegate.llm.components import connected_components
 
@@ -121,11 +121,83 @@ def test_simhash_components(docs, none, texts):
     want = sorted(((texts[i][0], f"{fp[i]:016x}", least[label[i]]) for i in range(len(fp))), key=repr)
     assert got(simhash.simhash_components(docs)) == want
     assert simhash.simhash_components(none).count() == 0
-    kept = simhash.near_dedup(docs)
+
+
+def brute_wide(text: str) -> int:
+    """512 majority bits over the set of five-word shingles, hashed by an integer splitmix64."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
+    sh = {" ".join(words[k : k + 5]) for k in range(len(words) - 4)} or ({" ".join(words)} if words else set())
+
+    def mixed(h: int) -> int:
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ h >> shift) * factor % 2**64
+        return h ^ h >> 31
+
+    seeds = [mixed(0x9E3779B97F4A7C15 * k % 2**64) for k in range(1, 9)]
+    ones = np.zeros(512, int)
+    for s in sh:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        ones += [mixed((h + x) % 2**64) >> b & 1 for x in seeds for b in range(64)]
+    return sum(1 << k for k in range(512) if 2 * ones[k] > len(sh))
+
+
+def brute_near_groups(texts: list[str]) -> list[int]:
+    """A group number per text: 3 bits of 64, or 84 of 512, over any number of links."""
+    fp, wide = [brute_fingerprint(t) for t in texts], [brute_wide(t) for t in texts]
+    label = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if label[a] != label[b] and ((fp[a] ^ fp[b]).bit_count() <= 3 or (wide[a] ^ wide[b]).bit_count() <= 84):
+            old, new = label[b], label[a]
+            label = [new if x == old else x for x in label]
+    return label
+
+
+def test_near_dedup_keeps_one_of_each_group(docs, none, texts):
+    label = brute_near_groups([t or "" for _, t, *_ in texts])
+    want = {k: min((texts[i][0] for i in range(len(texts)) if label[i] == k and texts[i][0] is not None), default=None) for k in set(label)}
+    kept = near_dedup.near_dedup(docs)
     assert kept.columns == docs.columns
-    kept_fp = {(r["doc_id"], brute_fingerprint(r["text"] or "")) for r in kept.collect()}
-    assert sorted(label[fp.index(f)] for _, f in kept_fp) == sorted(least) and {(d, label[fp.index(f)]) for d, f in kept_fp} == {(d, k) for k, d in least.items()}
-    assert kept.count() == len(least)
+    rows = kept.collect()
+    assert len(rows) == len(want)
+    assert {(r["doc_id"], label[[(d, t) for d, t, *_ in texts].index((r["doc_id"], r["text"]))]) for r in rows} == {(d, k) for k, d in want.items()}
+    assert near_dedup.near_dedup(none).count() == 0 and near_dedup.near_dedup(none).columns == none.columns
+
+
+def test_similar_texts_link_from_four_fifths_on(spark):
+    """Copies with changed words: those of similarity 0.87 and more go, those under 0.7 stay."""
+    rng = random.Random(11)
+    shingle_set = lambda t: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)}
+    rows, gone, stay = [], set(), set()
+    for n in range(60):
+        base = " ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randint(150, 900)))
+        words = base.split()
+        for k in rng.sample(range(len(words)), max(1, int(len(words) * rng.choice([0.002, 0.008, 0.05, 0.1])))):
+            words[k] = "altered"
+        rows += [(2 * n, base), (2 * n + 1, " ".join(words))]
+        a, b = map(shingle_set, (rows[-2][1], rows[-1][1]))
+        s = len(a & b) / len(a | b)
+        if s >= 0.87:
+            gone.add(2 * n + 1)
+        elif s < 0.7:
+            stay.add(2 * n + 1)
+    kept = {r["doc_id"] for r in near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert gone and stay and not gone & kept and stay <= kept and {2 * n for n in range(60)} <= kept
+
+
+def test_band_links_connect_a_chain_and_split_batches():
+    rng = np.random.default_rng(5)
+    wide = np.tile(rng.integers(0, 2**63, 8, dtype=np.uint64), (40, 1))
+    for k in range(1, 40):
+        bits = rng.choice(512, 60, replace=False)
+        wide[k] = wide[k - 1]
+        for b in bits:
+            wide[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+    left, right = near_dedup.band_links(wide)
+    assert len(left) == 39 and len(set(right)) == 39
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * 40 + [9] * 2, pa.int64()), pa.array(range(42), pa.int64()), pa.array([x.tobytes() for x in [*wide, wide[0], ~wide[0]]], pa.binary())], names=["key", "fp", "wide"])
+    whole, parts = (sorted(tuple(r.values()) for b in near_dedup._link_batches(iter(batches)) for r in b.to_pylist()) for batches in ([batch], [batch.slice(k, 5) for k in range(0, 42, 5)]))
+    assert whole == parts and len(whole) == 39
 
 
 def test_pigeonring_keys_lose_no_pair():

@@ -7,7 +7,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_fixtures import brute_fingerprint
+from tests.llm.test_fixtures import brute_near_groups
 from tidegate.llm.pieces import Vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -43,14 +43,11 @@ def test_dedup_stages(stages):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r["text"]), r)
     assert sorted(r["doc_id"] for r in stages["exact_dedup"][1]) == sorted(r["doc_id"] for r in first.values())
     left = sorted(stages["exact_dedup"][1], key=lambda r: r["doc_id"])
-    fp = {r["doc_id"]: brute_fingerprint(r["text"]) for r in left}
-    label = {d: d for d in fp}
-    for a in fp:
-        for b in fp:
-            if a < b and (fp[a] ^ fp[b]).bit_count() <= 3 and label[a] != label[b]:
-                low, high = sorted((label[a], label[b]))
-                label = {d: low if k == high else k for d, k in label.items()}
-    assert sorted(r["doc_id"] for r in stages["simhash_near_dedup"][1]) == sorted(set(label.values()))
+    label = brute_near_groups([r["text"] for r in left])
+    first = {}
+    for r, k in zip(left, label, strict=True):
+        first.setdefault(k, r["doc_id"])
+    assert sorted(r["doc_id"] for r in stages["simhash_near_dedup"][1]) == sorted(first.values())
 
 
 def test_leaks_go_and_others_stay(spark, stages):

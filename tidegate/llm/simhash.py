@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, xxh_id
+from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes
 from tidegate.llm.components import connected_components
 
 BITS, SEGMENTS, DISTANCE, SHINGLE = 64, 8, 3, 3
@@ -200,11 +200,10 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     return arrow_map(dealt, _link_batches, "u long, v long")
 
 
-def _roots(rows: DataFrame) -> DataFrame:
-    """rows(fp, ...) -> (fp, root): the distinct fingerprints, each with the smallest one of its component."""
-    distinct = rows.select("fp").distinct()
-    component = connected_components(fingerprint_links(distinct))
-    return distinct.join(component.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
+def component_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
+    """distinct(fp) and links(u, v) -> (fp, root): every fingerprint with the smallest one of its component."""
+    component = connected_components(links).withColumnRenamed("node", "fp")
+    return distinct.join(component, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
 
 
 def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -217,24 +216,8 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """
     rows = checkpointed(arrow_map(docs.select("doc_id", "text"), _fingerprint_batches(shingle), "doc_id long, fp long"))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labelled = _roots(rows).join(least, "fp")
+    distinct = rows.select("fp").distinct()
+    labelled = component_roots(distinct, fingerprint_links(distinct)).join(least, "fp")
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     names = labelled.select("fp", "root").join(named, "root").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def near_dedup(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """docs with one row of each component, that of smallest doc_id; all columns unchanged.
-
-    A null id is larger than any other. Of rows that share the smallest id, one stays: that of the
-    smallest content hash, so the choice is the same on every run.
-    """
-    names = docs.columns
-    th = xxh_id(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", th.alias("th"), "text")
-    rows = checkpointed(arrow_map(rows, _fingerprint_batches(shingle), "doc_id long, th long, fp long"))
-    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
-    stay = first.join(_roots(rows), "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_keep"), F.col("first.th").alias("_hash"))
-    kept = docs.withColumn("_th", th)
-    kept = kept.join(stay, kept["doc_id"].eqNullSafe(stay["_keep"]) & (kept["_th"] == stay["_hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_th"]).select(*names)

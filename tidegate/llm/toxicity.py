@@ -1,6 +1,6 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its character n-grams (3 to 5 bytes, with word boundaries) and of itself, hashed
+A word is the bag of its character n-grams (4 to 7 bytes, with word boundaries) and of itself, hashed
 to a table of embeddings that are averaged. A passage of 16 words is the average over its words, one
 that repeats counting once, and goes through a linear softmax; embeddings and softmax are trained jointly. A document is as toxic as its most toxic passage,
 so a few words are not thinned out by a long text, and every word is read. An unseen misspelling
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import U64, arrow_map, column_bytes, lowered, prefix_hash, range_hash, row_blocks, word_spans
 from tidegate.llm.labelled import held_out, training_sample
 
-BUCKETS, DIM, PASSAGE, GRAMS = 1 << 16, 8, 16, (3, 4, 5)
+BUCKETS, DIM, PASSAGE, GRAMS = 1 << 16, 8, 16, (4, 5, 6, 7)
 #: A toxic document is predicted from this score on.
 THRESHOLD = 0.5
 #: Digits that stand for letters in disguised words.

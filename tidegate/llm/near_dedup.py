@@ -1,14 +1,15 @@
-"""Near-dedup for pipelines: five-word shingles, similarity of 0.8 or more, decided by SimHash.
+"""Near-dedup for pipelines: five-word shingles, Jaccard similarity of 0.8 or more, decided exactly.
 
-A document's set of word shingles has a 512-bit fingerprint. For sets of Jaccard similarity s the
-share of differing bits is acos(2s / (1 + s)) / pi, 77 bits at s = 0.8, with a standard deviation of
-8 bits; pairs link at 84 or fewer. The estimate has no sharp edge: measured on real copies, nearly all pairs
-from 0.8 on link, 0.7 of those at 0.78, an eighth at 0.72 and one in sixty between 0.6 and 0.7.
+A document's set of word shingles has a 512-bit SimHash fingerprint and 16 bands of 5 min-hashes. For sets of
+Jaccard similarity s the share of differing bits is about acos(2s / (1 + s)) / pi, 77 bits at s = 0.8 with a
+standard deviation of 8 bits; sets of 4 and 5 shingles are the worst case, with 96 and 9. Documents that
+share a band and differ in at most 140 bits are candidates, which loses fewer than one in 10**6 of the pairs at
+0.8 and more. Their shingle sets are then compared, and a pair links only if the similarity is at least 0.8.
+What differs in at most 3 bits of the 64-bit fingerprint (`simhash`) is a candidate too.
 
 At this radius no exact segment key stays selective, so what is compared are documents that share
-a band of 5 min-hashes; of 16 bands at least one is shared with probability 0.998 at s = 0.8 and more
-above. The pigeonring chains of the ring of 8 words then prune before the full Hamming check. Links of
-the 64-bit fingerprints (3 bits, `simhash`) count as well.
+a band; of 16 bands at least one is shared with probability 0.998 at s = 0.8 and more above. The pigeonring
+chains of the ring of 8 words then prune before the full Hamming check.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix, xxh_id
 from tidegate.llm.simhash import component_roots, fingerprint, fingerprint_links, shingles
 
-SHINGLE, WORDS, RADIUS = 5, 8, 84
+SHINGLE, WORDS, RADIUS = 5, 8, 140
 BANDS, DEPTH = 16, 5
 #: Budgets are checked along chains of this many segments before all bits are counted.
 CHAIN = 3
@@ -34,9 +35,13 @@ _BIT_SEEDS = mix(np.array([_STEP * k % 2**64 for k in range(1, WORDS + 1)], U64)
 _FACTORS = mix(np.array([_STEP * k % 2**64 for k in range(101, 101 + BANDS * DEPTH)], U64)) | U64(1)
 
 
-def sketch(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(8 words of the wide fingerprint, band keys); all zero bits and no bands for a text without words."""
-    hashed = np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles(text, SHINGLE)), U64))
+def shingle_set(text: bytes) -> np.ndarray:
+    """The hashes of a text's five-word shingles, ascending, each once."""
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles(text, SHINGLE)), U64))
+
+
+def sketch(hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8 words of the wide fingerprint, band keys) of a shingle set; all zero bits and no bands for an empty one."""
     if not len(hashed):
         return np.zeros(WORDS, U64), np.zeros(0, U64)
     ones, least = np.zeros(64 * WORDS, np.int64), np.full(BANDS * DEPTH, U64(2**64 - 1))
@@ -84,23 +89,67 @@ def band_links(wide: np.ndarray) -> tuple[list[int], list[int]]:
     return left, right
 
 
+def similar_pairs(sets: list[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Links (row, row) that connect all non-empty sets whose Jaccard similarity is at least 0.8, as a forest."""
+    left, right = [], []
+    size = np.array([len(x) for x in sets], np.int64)
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat, cut = flat.astype(np.int32), np.concatenate([[0], np.cumsum(size)])
+    of = [flat[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    mark = np.zeros(len(values), bool)
+    rest, todo = np.flatnonzero(size), []
+    flat = flat if len(rest) else flat[:0]
+    while len(rest):
+        if not todo:
+            at, rest, flat = int(rest[0]), rest[1:], flat[size[rest[0]] :]
+        else:
+            at = todo.pop()
+        if not len(rest):
+            break
+        mark[of[at]] = True
+        both = np.add.reduceat(mark[flat], np.cumsum(size[rest]) - size[rest], dtype=np.int64)
+        mark[of[at]] = False
+        near = 9 * both >= 4 * (size[at] + size[rest])  # both / (sum of sizes - both) >= 4 / 5
+        if near.any():
+            found = rest[near].tolist()
+            left += [at] * len(found)
+            right += found
+            todo += found
+            flat = flat[np.repeat(~near, size[rest])]
+            rest = rest[~near]
+    return left, right
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
         raw, cut = data.tobytes(), offs.tolist()
-        fps, wide, bands = [], [], []
+        fps, ids, wide, bands = [], [], [], []
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             text = raw[a:b]
             fps.append(fingerprint(text))
-            bits, keys = sketch(text)
+            hashed = shingle_set(text)
+            ids.append(xxhash.xxh64_intdigest(hashed.tobytes(), 42))
+            bits, keys = sketch(hashed)
             wide.append(bits.tobytes())
             bands.append(keys.view(np.int64))
-        fp = pa.array(np.array(fps, U64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), fp, pa.array(wide, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "th", "fp", "wide", "bands"])
+        fp, ids = (pa.array(np.array(x, U64).view(np.int64)) for x in (fps, ids))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), fp, ids, pa.array(wide, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "th", "fp", "sid", "wide", "bands"])
+
+
+def _group_ids(a: list[int], b: list[int], ids: np.ndarray) -> np.ndarray:
+    """For each link of a forest, a number of its tree made from all of its ids, the same wherever they stand."""
+    root: dict[int, int] = {}
+    for x, y in zip(a, b, strict=True):
+        root[y] = root.setdefault(x, x)
+    total = dict.fromkeys(root.values(), 0)
+    for x, y in zip(root, mix(ids[list(root)].view(U64)).tolist(), strict=True):
+        total[root[x]] = (total[root[x]] + y) % 2**64
+    return np.array([total[root[x]] for x in a], U64).view(np.int64)
 
 
 def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by band key; a key's rows may go on in the next batch."""
+    """Rows sorted by band key; a key's rows may go on in the next batch. Links come with the number of their group."""
 
     def links(key: np.ndarray, fp: np.ndarray, wide: np.ndarray) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
@@ -108,13 +157,15 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         two = cut[:-1][size == 2]
         two = two[within_radius(wide[two] ^ wide[two + 1])]
         u, v = [fp[two]], [fp[two + 1]]
+        group = [(mix(u[0].view(U64)) + mix(v[0].view(U64))).view(np.int64)]
         for at, n in zip(cut[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
             a, b = band_links(wide[at : at + n])
             u.append(fp[at : at + n][a])
             v.append(fp[at : at + n][b])
-        u, v = np.concatenate(u), np.concatenate(v)
+            group.append(_group_ids(a, b, fp[at : at + n]))
+        u, v, group = np.concatenate(u), np.concatenate(v), np.concatenate(group)
         if len(u):
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(group)], names=["u", "v", "group"])
 
     def joined() -> Iterator[np.ndarray]:
         return (np.concatenate(x) for x in zip(*held, strict=True))
@@ -135,30 +186,69 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from links(*joined())
 
 
-def similar_links(rows: DataFrame) -> DataFrame:
-    """rows(fp long, wide binary, bands array<long>) -> (u, v): links between the fps of similar documents."""
-    keyed = rows.select("fp", "wide", "bands").distinct().select(F.explode("bands").alias("key"), "fp", "wide")
-    return arrow_map(keyed.repartition("key").sortWithinPartitions("key"), _link_batches, "u long, v long")
+def candidate_groups(rows: DataFrame) -> DataFrame:
+    """rows(fp long, sid long, wide binary, bands array<long>) -> (group, sid): sets that may be similar share a group.
+
+    Groups are what the loose radius links within one band; those of the same members in several bands are one.
+    Sets whose 64-bit fingerprints are linked by 3 bits are a group as well.
+    """
+    keyed = rows.select("sid", "wide", "bands").distinct().select(F.explode("bands").alias("key"), F.col("sid").alias("fp"), "wide")
+    links = arrow_map(keyed.repartition("key").sortWithinPartitions("key"), _link_batches, "u long, v long, group long")
+    wide = links.select("group", F.explode(F.array("u", "v")).alias("sid"))
+    fps = rows.select("fp").distinct()
+    roots = component_roots(fps, fingerprint_links(fps)).join(rows.select("fp", "sid").distinct(), "fp").select("root", "sid").distinct()
+    several = roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
+    return wide.unionByName(roots.join(several, "root").select(F.xxhash64("root").alias("group"), "sid")).distinct()
+
+
+def _exact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (group, sid, text) sorted by group, which may go on in the next batch -> links of similar sets."""
+    now, ids, sets = None, [], []
+
+    def links() -> Iterator[pa.RecordBatch]:
+        if len(ids) > 1:
+            a, b = similar_pairs(sets)
+            at = np.array(ids, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at[a]), pa.array(at[b])], names=["u", "v"])
+
+    for batch in batches:
+        data, offs = column_bytes(batch.column("text"))
+        raw, cut = data.tobytes(), offs.tolist()
+        for k, (group, sid) in enumerate(zip(batch.column("group").to_pylist(), batch.column("sid").to_pylist(), strict=True)):
+            if group != now:
+                yield from links()
+                now, ids, sets = group, [], []
+            ids.append(sid)
+            sets.append(shingle_set(raw[cut[k] : cut[k + 1]]))
+    yield from links()
+
+
+def similar_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """rows as sketched, docs(th long, text) -> (u, v): links that join all candidates of similarity 0.8 or more."""
+    one = rows.groupBy("sid").agg(F.min("th").alias("th"))
+    members = checkpointed(candidate_groups(rows).join(one, "sid"))
+    texts = docs.join(members.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
+    dealt = members.join(texts, "th").select("group", "sid", "text").repartition("group").sortWithinPartitions("group")
+    return arrow_map(dealt, _exact_batches, "u long, v long")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text, ...) with one row of each near-duplicate group, that of smallest doc_id; all columns unchanged.
 
-    Groups are what links join over any number of steps: 84 or fewer differing bits of the
-    512-bit fingerprint of five-word shingles (similarity of about 0.8), or 3 or fewer of the 64-bit one
-    of three-word shingles. Null and empty texts have fingerprint zero and form one group; a text of
+    Groups are what links join over any number of steps: pairs of Jaccard similarity 0.8 or more of their
+    five-word shingle sets. Null and empty texts have no shingles and form one group; a text of
     fewer words than a shingle has its whole sequence as the only one. A null id is larger than any other.
     Of rows that share the smallest id, one stays: that of the smallest content hash, so the choice
     is the same on every run. An empty table gives no rows.
     """
     names = docs.columns
     th = xxh_id(F.coalesce("text", F.lit("")))
-    rows = docs.select("doc_id", th.alias("th"), "text")
-    rows = checkpointed(arrow_map(rows, _sketch_batches, "doc_id long, th long, fp long, wide binary, bands array<long>"))
-    distinct = rows.select("fp").distinct()
-    roots = component_roots(distinct, fingerprint_links(distinct).unionByName(similar_links(rows)))
-    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
-    stay = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_keep"), F.col("first.th").alias("_hash"))
+    hashed = docs.select("doc_id", th.alias("th"), "text")
+    rows = checkpointed(arrow_map(hashed, _sketch_batches, "doc_id long, th long, fp long, sid long, wide binary, bands array<long>"))
+    distinct = rows.select(F.col("sid").alias("fp")).distinct()
+    roots = component_roots(distinct, similar_links(rows, hashed.select("th", "text"))).withColumnRenamed("fp", "sid")
+    first = rows.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
+    stay = first.join(roots, "sid").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_keep"), F.col("first.th").alias("_hash"))
     kept = docs.withColumn("_th", th)
     kept = kept.join(stay, kept["doc_id"].eqNullSafe(stay["_keep"]) & (kept["_th"] == stay["_hash"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "_th"]).select(*names)

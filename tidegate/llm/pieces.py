@@ -134,6 +134,15 @@ def smallest_sums(losses: list[list[float]], n: int) -> list[tuple[float, tuple[
     return out
 
 
+def changed(ids: np.ndarray, changes: list[tuple[int, tuple[int, ...], tuple[int, ...]]]) -> np.ndarray:
+    """The ids of another segmentation, from those of the best and the changes that lead to it."""
+    parts, end = [], 0
+    for place, old, new in changes:
+        parts += [ids[end:place], np.array(new, np.int32)]
+        end = place + len(old)
+    return np.concatenate([*parts, ids[end:]]) if parts else ids
+
+
 class Encoder:
     """Segments blocks of texts; made once per worker and vocabulary."""
 
@@ -317,14 +326,7 @@ class Encoder:
         """The N best segmentations of a text in full: (score, ids), best first."""
         raw = np.frombuffer(text.encode(), np.uint8)
         ids, ranked = next(self.block(raw, np.array([0, len(raw)])))
-        out = []
-        for score, changes in ranked:
-            now, end = [], 0
-            for place, old, new in changes:
-                now += [*ids[end:place].tolist(), *new]
-                end = place + len(old)
-            out.append((score, now + ids[end:].tolist()))
-        return out
+        return [(score, changed(ids, changes).tolist()) for score, changes in ranked]
 
 
 #: One encoder per worker and vocabulary, kept between tasks.
@@ -347,30 +349,46 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, n
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
         for lo, hi, part, cut in row_blocks(data, offs):
-            ids, scores, lengths, exact = [], [], [], []
-            for row, (best, ranked) in enumerate(encoder.block(part, cut)):
-                ids.append(best)
-                scores.append([s for s, _ in ranked])
-                lengths.append([len(best) + sum(len(new) - len(old) for _, old, new in changes) for _, changes in ranked])
-                size = raw_size[best]
-                decoded = raw[np.repeat(raw_at[best] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-                exact.append(np.array_equal(decoded[1:], part[cut[row] : cut[row + 1]]))
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in ids])]), pa.int32())
+            ids, count, scores = [], [], []
+            for best, ranked in encoder.block(part, cut):
+                ids += [changed(best, changes) for _, changes in ranked]
+                count.append(len(ranked))
+                scores += [s for s, _ in ranked]
+            first = np.cumsum([0, *count])
+            length = np.array([len(x) for x in ids], np.int64)
+            flat, at = np.concatenate(ids), np.concatenate([[0], np.cumsum(length)])
+            exact = []
+            for row in range(hi - lo):
+                text = part[cut[row] : cut[row + 1]]
+                for k in range(first[row], first[row + 1]):
+                    size = raw_size[ids[k]]
+                    decoded = raw[np.repeat(raw_at[ids[k]] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+                    exact.append(np.array_equal(decoded[1:], text))
+            offsets = pa.array(first, pa.int32())
+            best = pa.array(np.concatenate([ids[k] for k in first[:-1]]), pa.int32())
+            every = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32())), pa.array(scores, pa.list_(pa.float64())), pa.array(lengths, pa.list_(pa.int64())), pa.array(exact, pa.bool_())],
-                names=["doc_id", "piece_ids", "nbest_scores", "nbest_pieces", "round_trip"],
+                [
+                    batch.column("doc_id").slice(lo, hi - lo),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length[first[:-1]])]), pa.int32()), best),
+                    pa.ListArray.from_arrays(offsets, every),
+                    pa.ListArray.from_arrays(offsets, pa.array(scores, pa.float64())),
+                    pa.ListArray.from_arrays(offsets, pa.array(length, pa.int64())),
+                    pa.array(np.logical_and.reduceat(exact, first[:-1]), pa.bool_()),
+                ],
+                names=["doc_id", "piece_ids", "nbest_ids", "nbest_scores", "nbest_pieces", "round_trip"],
             )
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary, n: int = N_BEST) -> DataFrame:
-    """docs(doc_id, text, ...) -> doc_id, piece_ids, nbest_scores, nbest_pieces, round_trip; one row per input row.
+    """docs(doc_id, text, ...) -> doc_id, piece_ids, nbest_ids, nbest_scores, nbest_pieces, round_trip; one row per input row.
 
-    piece_ids is the best segmentation of the whole text; nbest_scores and nbest_pieces have the score
+    piece_ids is the best segmentation of the whole text; nbest_ids, nbest_scores and nbest_pieces have the ids, score
     and number of pieces of the n best, or of all if there are fewer, best first. round_trip tells that
-    decoding piece_ids gave the text back. A null or empty text has no pieces and one segmentation, of
+    decoding each of them gave the text back. A null or empty text has no pieces and one segmentation, of
     score 0. Of segmentations with equal scores, which come among the n is fixed by the search.
     """
-    return arrow_map(docs.select("doc_id", "text"), partial(_encode_batches, vocabulary=vocabulary, n=n), "doc_id long, piece_ids array<int>, nbest_scores array<double>, nbest_pieces array<long>, round_trip boolean")
+    return arrow_map(docs.select("doc_id", "text"), partial(_encode_batches, vocabulary=vocabulary, n=n), "doc_id long, piece_ids array<int>, nbest_ids array<array<int>>, nbest_scores array<double>, nbest_pieces array<long>, round_trip boolean")
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:

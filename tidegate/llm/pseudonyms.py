@@ -173,56 +173,122 @@ def _secret(text: str, key: bytes) -> str | None:
 RULES: dict[str, Callable[[str, bytes], str | None]] = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date, "email": _email, "secret": _secret}
 
 #: Forms that start with a digit, a plus sign or a bracket, in the order they are tried at a place.
-_NUMBERS = re.compile(
+_FORMS = (
     r"(?P<date>(?<![\w./-])(?:\d{4}([-./])\d{1,2}\2\d{1,2}|\d{1,2}([-./])\d{1,2}\3\d{4})(?![\w-]|[./]\d))"
     r"|(?P<ip>(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<![\w)])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}(?P<gap>[-.])\d{3}(?P=gap)\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w))"
 )
+_OTHERS = re.compile(_FORMS)
+#: A run of digit groups of any length is a candidate for cards.
+_NUMBERS = re.compile(_FORMS + r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,}(?!\w))")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)")
+#: Lengths of IBANs, by country.
+IBAN_LENGTHS = {c: int(n) for n, cs in (x.split(":") for x in "15:NO 16:BE 18:DK FI FO GL NL SD FK 19:MK SI 20:AT BA EE KZ LT LU XK MN 21:CH HR LI LV 22:BG BH CR DE GB GE IE ME RS VA 23:AE GI IL IQ OM TL SO 24:AD CZ ES MD PK RO SA SE SK TN VG 25:LY PT ST 26:IS TR 27:BI DJ FR GR IT MC MR SM 28:AL AZ BY CY DO GT HN HU LB NI PL SV 29:BR EG PS QA UA 30:JO KW MU 31:MT SC 32:LC 33:RU".replace(" 1", ";1").replace(" 2", ";2").replace(" 3", ";3").split(";")) for c in cs.split()}
+#: How the digits of cards are grouped in print.
+_CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 5), (6, 13))
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)+")
 _SECRET = re.compile(r"""(?i:token|secret|password|passwd|api[_-]?key)["']?\s*[:=]\s*["']?([0-9a-f]{16,128}|[0-9A-F]{16,128})(?!\w)""")
 _DIGIT = re.compile(r"[0-9]")
 _CUE = re.compile(r"(?i)token|secret|passw|key")
 
 
-def _numbers(text: str) -> Iterator[tuple[int, int, str]]:
-    """Number-like values. A run of numbers parted by blanks or dashes may hold several cards."""
-    for m in _NUMBERS.finditer(text):
-        yield m.start(), m.end(), m.lastgroup if m.lastgroup in RULES else next(k for k, v in m.groupdict().items() if v)
+Replace = Callable[[str, str], str | None]
+Found = tuple[int, int, str, str]
 
 
-def find(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of candidate values, not yet validated, that do not overlap."""
-    found = []
-    if "@" in text:
-        found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
-    if _DIGIT.search(text):
-        if _CUE.search(text):
-            found += [(m.start(1), m.end(1), "secret") for m in _SECRET.finditer(text)]
-        found += [(m.start(), m.end(), "iban") for m in _IBAN.finditer(text)]
-        found += _numbers(text)
-    return found
-
+def _cards(text: str, start: int, stop: int, replace: Replace) -> list[Found]:
+    """The valid cards in a run of digit groups, in order: the whole run, or else spans of whole groups.
 
-def pseudonymise(text: str, key: bytes, replace: Callable[[str, str], str | None] | None = None) -> tuple[str, dict[str, int]]:
+    Where valid spans overlap, one that is grouped as in print goes first, then an undivided one, then the longest.
+    """
+    if (new := replace("card", text[start:stop])) is not None:
+        return [(start, stop, "card", new)]
+    groups = [m.span() for m in re.compile(r"\d+").finditer(text, start, stop)]
+    valid = []
+    for k in range(len(groups)):
+        digits = 0
+        for n in range(k, len(groups)):
+            digits += groups[n][1] - groups[n][0]
+            if digits > 19:
+                break
+            if digits >= 13 and (new := replace("card", text[groups[k][0] : groups[n][1]])) is not None:
+                sizes = tuple(b - a for a, b in groups[k : n + 1])
+                valid.append((sizes not in _CARD_GROUPS, n > k, -digits, k, n, new))
+    taken: set[int] = set()
+    out = []
+    for *_, k, n, new in sorted(valid):
+        if taken.isdisjoint(range(k, n + 1)):
+            taken.update(range(k, n + 1))
+            out.append((groups[k][0], groups[n][1], "card", new))
+    return sorted(out)
+
+
+def _ibans(text: str, replace: Replace) -> Iterator[Found]:
+    """Valid IBANs. What follows one may look like a part of it: the country's length is tried first, then the whole, then ends of groups."""
+    at = 0
+    while (m := _IBAN.search(text, at)) is not None:
+        start, at = m.start(), m.start() + 1
+        places = [k + 1 for k in range(start, m.end()) if text[k] != " "]
+        ends = [m.end(), *(k for k in range(m.end() - 1, start, -1) if text[k] == " ")]
+        if (n := IBAN_LENGTHS.get(m[0][:2], 99)) <= len(places):
+            ends.insert(0, places[n - 1])
+        for end in ends:
+            if (new := replace("iban", text[start:end])) is not None:
+                yield start, end, "iban", new
+                at = end
+                break
+
+
+def _numbers(text: str, at: int, stop: int, replace: Replace) -> Iterator[Found]:
+    """Valid number-like values of text[at:stop]. A run of digit groups may hold several cards and values of other kinds."""
+    while (m := _NUMBERS.search(text, at, stop)) is not None:
+        kind = next(k for k in RULES if k in _NUMBERS.groupindex and m[k])
+        if kind != "card":
+            new = replace(kind, m[0])
+            at = m.start() + 1 if new is None else m.end()
+            if new is not None:
+                yield m.start(), m.end(), kind, new
+            continue
+        at = m.start()
+        for card in [*_cards(text, m.start(), m.end(), replace), None]:
+            while (o := _OTHERS.search(text, at, card[0] if card else stop)) is not None and o.start() < m.end():
+                at = o.end()
+                if (new := replace(kind := next(k for k in RULES if k in _OTHERS.groupindex and o[k]), o[0])) is not None:
+                    yield o.start(), o.end(), kind, new
+            if card:
+                yield card
+                at = card[1]
+        at = max(at, m.end())
+
+
+def find(text: str, replace: Replace) -> list[Found]:
+    """(start, end, kind, pseudonym) of the valid values, in order and without overlap."""
+    named: list[Found] = []
+    if "@" in text:
+        named += [(m.start(), m.end(), "email", new) for m in _EMAIL.finditer(text) if (new := replace("email", m[0])) is not None]
+    if not _DIGIT.search(text):
+        return named
+    if _CUE.search(text):
+        named += [(*m.span(1), "secret", new) for m in _SECRET.finditer(text) if (new := replace("secret", m[1])) is not None]
+    named += _ibans(text, replace)
+    found, end = [], 0
+    for value in [*sorted(named), (len(text), len(text), "", "")]:
+        if value[0] >= end:
+            found += _numbers(text, end, value[0], replace)
+            found.append(value)
+            end = value[1]
+    return found[:-1]
+
+
+def pseudonymise(text: str, key: bytes, replace: Replace | None = None) -> tuple[str, dict[str, int]]:
     """The text with every valid value replaced, and how many of each kind there were."""
     counts: dict[str, int] = {}
     out, end = [], 0
-    replace = replace or (lambda kind, value: RULES[kind](value, key))
-    for start, stop, kind in sorted(find(text)):
-        if start < end:
-            continue
-        value = text[start:stop]
-        pieces = [(start, value)]
-        if (new := replace(kind, value)) is None and kind == "card" and re.search("[ -]", value):
-            pieces = [(start + m.start(), m[0]) for m in re.finditer(r"\d{13,19}", value)]
-        for at, v in pieces:
-            if (new := replace(kind, v)) is not None:
-                out += [text[end:at], new]
-                end = at + len(v)
-                counts[kind] = counts.get(kind, 0) + 1
+    for start, stop, kind, new in find(text, replace or (lambda kind, value: RULES[kind](value, key))):
+        out += [text[end:start], new]
+        end = stop
+        counts[kind] = counts.get(kind, 0) + 1
     return "".join([*out, text[end:]]), counts
 
 

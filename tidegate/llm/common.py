@@ -7,7 +7,6 @@ numpy passes and the memory of a worker is bounded by the block and by the longe
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,23 +28,61 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """mapInArrow with batches bounded in rows and bytes, so long rows do not pile up in a worker."""
     conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{name}", None) is None:  # what the caller has set stands
+            conf.set(f"spark.sql.execution.arrow.{name}", str(value))
     return df.mapInArrow(fn, schema)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder the cluster names.
+    """Cut the lineage with a reliable checkpoint in the folder that spark.checkpoint.dir names.
 
-    Only where no folder is configured at all (a local test) is one made up here.
+    Where it names none, a local session uses one in its warehouse, and on a cluster this is an error: no
+    folder made up here would be seen by all executors.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+#: Keys of rows to be dropped go to every task up to this many (some 24 bytes each); beyond, both sides are shuffled.
+SENT_KEYS = 1_000_000
+
+
+def sent_if_few(keys: DataFrame) -> DataFrame:
+    """The keys, counted, and marked for broadcast only if there are at most SENT_KEYS. They should be cheap to read twice."""
+    return F.broadcast(keys) if keys.count() <= SENT_KEYS else keys
+
+
+def one_of_each(docs: DataFrame, judged: DataFrame, hashed: F.Column) -> DataFrame:
+    """docs without the rows that judged(doc_id, th, stays) drops, and of those that agree in id and hash only one; columns unchanged.
+
+    judged has one row per row of docs and is cheap to read. Texts are shuffled only where there are more
+    keys than SENT_KEYS, or for rows that repeat both an id and a text.
+    """
+    names = docs.columns
+    each = checkpointed(judged.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.max("stays").alias("_s"), F.count("*").alias("_n")).where("not _s or _n > 1"))
+    keyed = docs.withColumn("_th", hashed)
+
+    def on(keys: DataFrame) -> list:
+        return [keyed["_th"] == keys["_t"], keyed["doc_id"].eqNullSafe(keys["_d"])]
+
+    listed = sent_if_few(each.select("_d", "_t"))
+    out = keyed.join(listed, on(listed), "left_anti").select(*names)
+    twice = each.where("_s").select("_d", "_t")
+    if twice.isEmpty():
+        return out
+    twice = sent_if_few(twice)
+    return out.unionByName(keyed.join(twice, on(twice), "left_semi").dropDuplicates(["doc_id", "_th"]).select(*names))
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column without copying; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):

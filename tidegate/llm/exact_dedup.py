@@ -4,7 +4,8 @@ A text is cut into chunks; each chunk has a polynomial hash under four (prime, b
 the hash of a concatenation is H(a) + base**len(a) * H(b), so chunks of a huge document can be
 hashed apart, anywhere, and combined in order. Equal fingerprints are only candidates: the texts
 behind them are compared chunk by chunk, as a stream of (fingerprint, chunk number, bytes) rows
-that is reduced on the map side, so a group of any size costs one row per task and chunk.
+that is reduced on the map side, so a group of any size costs one row per task and chunk. Texts whose
+fingerprint occurs once have nothing to be compared with and leave the stream before it is shuffled.
 A fingerprint whose chunks differ anywhere is split by SHA-256.
 """
 
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import arrow_map, checkpointed, column_bytes, row_blocks
+from tidegate.llm.common import arrow_map, checkpointed, column_bytes, one_of_each, row_blocks, sent_if_few
 
 #: Primes below 2**31 and bases.
 FIELDS = ((2147483647, 48271), (2147483629, 69621), (2147483587, 1103515245), (2147483579, 742938285))
@@ -134,7 +135,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     fp = ["fp_a", "fp_b", "n_bytes"]
     source = docs.select("doc_id", "text")
     rows = checkpointed(arrow_map(source, _fingerprint_batches, "doc_id long, fp_a long, fp_b long, n_bytes long, text_sha256 string"))
+    repeated = checkpointed(rows.groupBy(*fp).agg(F.count("*").alias("n")).where("n > 1").select(*fp))
     chunks = arrow_map(source, _chunk_batches, "fp_a long, fp_b long, n_bytes long, chunk long, bytes binary")
+    chunks = chunks.join(sent_if_few(repeated), fp, "left_semi")
     # Streaming comparison: a chunk that has one content among all rows of a fingerprint is equal everywhere.
     contents = chunks.groupBy(*fp, "chunk", "bytes").agg(F.lit(1).alias("one"))
     differing = contents.groupBy(*fp, "chunk").agg(F.count("*").alias("n")).where("n > 1").select(*fp).distinct().withColumn("split", F.lit(True))
@@ -153,11 +156,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """docs with only the row of smallest doc_id of each group of equal texts, all columns unchanged.
 
-    Where rows repeat an id, one of those with equal text stays.
+    Where rows repeat an id, one of those with equal text stays; the first of several ids is the smallest,
+    and a null id is larger than any other. Null texts count as empty. An empty table gives no rows.
     """
-    names = docs.columns
-    verdict = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
+    judged = exact_groups(docs).select("doc_id", F.col("text_sha256").alias("th"), F.col("kept").alias("stays"))
     normal = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    keyed = docs.withColumn("_sha", F.sha2(normal.cast("binary"), 256))
-    one = keyed.join(verdict, [keyed["_sha"] == verdict["_sha"], keyed["doc_id"].eqNullSafe(verdict["_keep"])], "left_semi")
-    return one.dropDuplicates(["doc_id", "_sha"]).select(*names)
+    return one_of_each(docs, judged, F.sha2(normal.cast("binary"), 256))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix, xxh_id
+from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix, one_of_each, xxh_id
 from tidegate.llm.simhash import component_roots, fingerprint, fingerprint_links, shingles
 
 SHINGLE, WORDS, RADIUS = 5, 8, 140
@@ -241,14 +241,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     Of rows that share the smallest id, one stays: that of the smallest content hash, so the choice
     is the same on every run. An empty table gives no rows.
     """
-    names = docs.columns
     th = xxh_id(F.coalesce("text", F.lit("")))
     hashed = docs.select("doc_id", th.alias("th"), "text")
     rows = checkpointed(arrow_map(hashed, _sketch_batches, "doc_id long, th long, fp long, sid long, wide binary, bands array<long>"))
     distinct = rows.select(F.col("sid").alias("fp")).distinct()
     roots = component_roots(distinct, similar_links(rows, hashed.select("th", "text"))).withColumnRenamed("fp", "sid")
-    first = rows.groupBy("sid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("first"))
-    stay = first.join(roots, "sid").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_keep"), F.col("first.th").alias("_hash"))
-    kept = docs.withColumn("_th", th)
-    kept = kept.join(stay, kept["doc_id"].eqNullSafe(stay["_keep"]) & (kept["_th"] == stay["_hash"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_th"]).select(*names)
+    least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = rows.groupBy("sid").agg(F.min(least).alias("first"))
+    stay = first.join(roots, "sid").groupBy("root").agg(F.min("first").alias("stay"))
+    stay = roots.join(stay, "root").select("sid", "stay")
+    judged = rows.join(stay, "sid").select("doc_id", "th", least.eqNullSafe(F.col("stay")).alias("stays"))
+    return one_of_each(docs, judged, th)

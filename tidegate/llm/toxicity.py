@@ -1,9 +1,10 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams (4 to 7 bytes, with word boundaries) and of itself, hashed
-to a table of embeddings that are averaged. A passage of 16 words is the average over its words, one
-that repeats counting once, and goes through a linear softmax; embeddings and softmax are trained jointly. A document is as toxic as its most toxic passage,
-so a few words are not thinned out by a long text, and every word is read. An unseen misspelling
+to a table of embeddings that are averaged. A document is two such averages side by side, over all of its words and
+over its most toxic passage of 16 words (a word that repeats in a passage counts once there), so a few words are
+not thinned out by a long text; one linear softmax reads both. Embeddings and softmax are trained
+jointly, and how much either average counts is learned. An unseen misspelling
 shares n-grams with the word it comes from; training also shows each word in misspelt forms.
 """
 
@@ -20,6 +21,7 @@ from tidegate.llm.common import U64, arrow_map, column_bytes, lowered, prefix_ha
 from tidegate.llm.labelled import held_out, training_sample
 
 BUCKETS, DIM, PASSAGE, GRAMS = 1 << 16, 8, 16, (4, 5, 6, 7)
+REFRESH = 20
 #: A toxic document is predicted from this score on.
 THRESHOLD = 0.5
 #: Digits that stand for letters in disguised words.
@@ -61,30 +63,45 @@ def _bracketed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return out, begin, stop
 
 
+def _pulls(model: dict) -> tuple[np.ndarray, np.ndarray, float]:
+    """What each n-gram adds to the log-odds by either average, and the bias."""
+    odds = (model["W"][:, 1] - model["W"][:, 0]).astype(np.float64)
+    return model["E"] @ odds[:DIM], model["E"] @ odds[DIM:], float(model["b"][1] - model["b"][0])
+
+
 def scores(model: dict, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Probability that a row is toxic, for each row of a block, over all its words."""
     rows = len(offs) - 1
     data = lowered(data)
     start, end, row = word_spans(data, offs)
-    base = float(model["b"][1] - model["b"][0])
-    best = np.full(rows, base)
+    whole, passing, base = _pulls(model)
+    total = np.full(rows, base)
     if len(start):
         with np.errstate(over="ignore"):
             hashed = range_hash(prefix_hash(data), start, end)
         _, first, which = np.unique(hashed, return_index=True, return_inverse=True)
         ids, word = _subwords(*_bracketed(data, start[first], end[first]))
-        pull = (model["E"] @ (model["W"][:, 1] - model["W"][:, 0])).astype(np.float64)
-        value = np.bincount(word, pull[ids], len(first)) / np.bincount(word, minlength=len(first))
-        place = np.arange(len(row)) - np.searchsorted(row, row)
+        grams = np.bincount(word, minlength=len(first))
+        count = np.bincount(row, minlength=rows)
+        total += np.bincount(row, (np.bincount(word, whole[ids], len(first)) / grams)[which], rows) / np.maximum(count, 1)
+        value = np.bincount(word, passing[ids], len(first)) / grams
+        best = np.full(rows, -np.inf)
         # Passages at two offsets, so that none is cut through everywhere.
         for shift in (0, PASSAGE // 2):
-            passage = (place + shift) // PASSAGE
-            new = np.concatenate([[True], (row[1:] != row[:-1]) | (passage[1:] != passage[:-1])])
-            number = np.cumsum(new) - 1
-            pair = np.unique(number * len(first) + which)
-            total = np.bincount(pair // len(first), value[pair % len(first)])
-            np.maximum.at(best, row[new], total / PASSAGE + base)
-    return 1 / (1 + np.exp(-np.clip(best, -40, 40)))
+            owner, _, sums = _passages(row, which, value, shift, len(first))
+            np.maximum.at(best, owner, sums)
+        total[count > 0] += best[count > 0]
+    return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
+
+
+def _passages(row: np.ndarray, which: np.ndarray, value: np.ndarray, shift: int, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Passages of PASSAGE words of the words' rows (ascending): (row of each, (passage, word) pairs as one number, sum of each over PASSAGE)."""
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    passage = (place + shift) // PASSAGE
+    new = np.concatenate([[True], (row[1:] != row[:-1]) | (passage[1:] != passage[:-1])])
+    number = np.cumsum(new) - 1
+    pair = np.unique(number * n_words + which)
+    return row[new], pair, np.bincount(pair // n_words, value[pair % n_words]) / PASSAGE
 
 
 def _misspelt(word: bytes, rng: np.random.Generator) -> bytes:
@@ -102,22 +119,21 @@ def _misspelt(word: bytes, rng: np.random.Generator) -> bytes:
     return word[:k] + word[k : k + 1].translate(DISGUISE) + word[k + 1 :] if rng.random() < 0.5 else word.translate(DISGUISE)
 
 
-def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float = 0.2, batch: int = 32, seed: int = 3, rate: float = 0.3) -> dict:
-    """Fit embeddings and softmax jointly by Adagrad, classes weighted alike, in 8 to 60 epochs.
+def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float = 0.2, batch: int = 32, seed: int = 3, rate: float = 0.3, lean: float = 2.0) -> dict:
+    """Fit embeddings and softmax jointly by Adagrad in 8 to 60 epochs, the toxic documents weighing `lean` times as much in all as the others.
 
-    In the first share `whole` of the epochs a document is the average of all of its words; then it is
-    its most toxic passage as the model stands, which for documents of label 0 is the hardest one to
-    clear, and those add one more at random. With labels of one class only, or none, the model answers
-    with that class's share.
+    In the first share `whole` of the epochs the whole document stands for its most toxic passage too; then that
+    is chosen as the model stands, by word values that are renewed every REFRESH steps. With labels of one
+    class only, or none, the model answers with that class's share.
     """
     rng = np.random.default_rng(seed)
-    model = {"E": rng.normal(0, 0.1, (BUCKETS, DIM)), "W": rng.normal(0, 0.5, (DIM, 2)), "b": np.zeros(2)}
+    model = {"E": rng.normal(0, 0.1, (BUCKETS, DIM)), "W": rng.normal(0, 0.5, (2 * DIM, 2)), "b": np.zeros(2)}
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         model["W"][:] = 0
         model["b"][1] = 4 * (y.mean() if len(y) else 0.5) - 2
         return model
-    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    weight = np.where(y == 1, lean / y.mean(), 1 / (1 - y.mean())) / (1 + lean)
     vocabulary: dict[bytes, int] = {}
     tokens = []
     for t in texts:
@@ -127,44 +143,45 @@ def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float =
         tokens.append(np.array([vocabulary.setdefault(raw[a:b], len(vocabulary)) for a, b in zip(s.tolist(), e.tolist(), strict=True)], np.int32))
     words = list(vocabulary)
     size = len(words)
-    square = {"E": np.full(BUCKETS, 1e-6), "W": np.full((DIM, 2), 1e-6), "b": np.full(2, 1e-6)}
+    square = {"E": np.full(BUCKETS, 1e-6), "W": np.full((2 * DIM, 2), 1e-6), "b": np.full(2, 1e-6)}
     lots = max(1, len(texts) // batch)
     epochs = min(60, max(8, -(-steps // lots)))
+    step = 0
     for epoch in range(epochs):
         if epoch % 2 == 0:  # words in new misspelt forms
-            bags = None  # the old ones go before the new ones come
+            bags = values = None  # the old ones go before the new ones come
             bags = _bags(words + [_misspelt(w, rng) for w in words])
         averaging = epoch < whole * epochs
         for lot in np.array_split(rng.permutation(len(texts)), lots):
-            if not averaging:
-                pull = model["E"] @ (model["W"][:, 1] - model["W"][:, 0])
-            chosen, owner, slots = [], [], []
-            for i in lot:
-                seen = tokens[i]
-                if not len(seen):
-                    continue
-                seen = seen + size * (rng.random(len(seen)) < 0.3)
-                if averaging:
-                    chosen.append(np.unique(seen))
-                    owner.append(i)
-                    slots.append(len(chosen[-1]))
-                    continue
-                shift = int(rng.integers(PASSAGE))
-                passage = (np.arange(len(seen)) + shift) // PASSAGE
-                each = [np.unique(p) for p in np.split(seen, np.flatnonzero(np.diff(passage)) + 1)]
-                flat = np.concatenate(each)
-                cut = np.concatenate([[0], np.cumsum([len(p) for p in each])])
-                gram, of = _expand(bags, flat)
-                z = np.add.reduceat(np.bincount(of, pull[gram], len(flat)) / bags[2][flat], cut[:-1])
-                for k in {int(z.argmax()), *([] if y[i] else [int(rng.integers(len(each)))])}:
-                    chosen.append(each[k])
-                    owner.append(i)
-                    slots.append(PASSAGE)
-            if chosen:
-                _step(model, square, bags, chosen, np.array(owner), np.array(slots), y, weight, rate)
+            if not averaging and (values is None or step % REFRESH == 0):
+                values = _values(bags, _pulls(model)[1])
+            step += 1
+            seen = [tokens[i] + size * (rng.random(len(tokens[i])) < 0.3) for i in lot]
+            row = np.repeat(np.arange(len(lot)), [len(x) for x in seen])
+            if not len(row):
+                continue
+            which = np.concatenate(seen)
+            mean = np.unique(row * 2 * size + which, return_counts=True)
+            share = mean[1] / np.bincount(row)[mean[0] // (2 * size)]
+            if averaging:
+                top, top_share = mean[0], share
+            else:
+                owner, pair, sums = _passages(row, which, values, int(rng.integers(PASSAGE)), 2 * size)
+                order = np.lexsort((-sums, owner))
+                best = order[np.concatenate([[True], owner[order][1:] != owner[order][:-1]])]
+                chosen = np.isin(pair // (2 * size), best)
+                top = owner[pair[chosen] // (2 * size)] * 2 * size + pair[chosen] % (2 * size)
+                top_share = np.full(len(top), 1 / PASSAGE)
+            _step(model, square, bags, (mean[0], share, top, top_share), 2 * size, y[lot], weight[lot], rate)
     return model
 
 
+def _values(bags: tuple[np.ndarray, np.ndarray, np.ndarray], pull: np.ndarray) -> np.ndarray:
+    """The mean pull of each word's n-grams."""
+    ids, begin, count = bags
+    return np.add.reduceat(pull[ids], begin) / count
+
+
 def _bags(words: list[bytes], step: int = 20_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(n-gram buckets in the order of words, where each word's begin, how many it has)."""
     found, counts = [], []
@@ -184,25 +201,33 @@ def _expand(bags: tuple[np.ndarray, np.ndarray, np.ndarray], words: np.ndarray)
     return ids[begin[words][of] + np.arange(len(of)) - (np.cumsum(n) - n)[of]], of
 
 
-def _step(model: dict, square: dict, bags: tuple, chosen: list, owner: np.ndarray, slots: np.ndarray, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
-    words = np.concatenate(chosen)
-    unit = np.repeat(np.arange(len(chosen)), [len(b) for b in chosen])
+def _step(model: dict, square: dict, bags: tuple, averages: tuple, n_words: int, y: np.ndarray, weight: np.ndarray, rate: float) -> None:
+    """One step on a lot. averages: (document, word) pairs as one number, and the words' shares, of the whole documents and of their passages."""
+    mean, share, top, top_share = averages
+    n = len(y)
+    words, inverse = np.unique(np.concatenate([mean, top]) % n_words, return_inverse=True)
     gram, of = _expand(bags, words)
-    share = 1 / (bags[2][words][of] * slots[unit][of])
-    mean = np.stack([np.bincount(unit[of], model["E"][gram, k] * share, len(chosen)) for k in range(DIM)], axis=1)
-    logit = mean @ model["W"] + model["b"]
+    per_word = 1 / bags[2][words]
+    vectors = np.stack([np.bincount(of, model["E"][gram, k], len(words)) for k in range(DIM)], axis=1) * per_word[:, None]
+    parts = ((mean // n_words, inverse[: len(mean)], share), (top // n_words, inverse[len(mean) :], top_share))
+    both = np.concatenate([np.stack([np.bincount(doc, vectors[w, k] * s, n) for k in range(DIM)], axis=1) for doc, w, s in parts], axis=1)
+    logit = both @ model["W"] + model["b"]
     p = np.exp(logit - logit.max(axis=1, keepdims=True))
     p /= p.sum(axis=1, keepdims=True)
-    p[np.arange(len(chosen)), y[owner]] -= 1
-    p *= (weight[owner] / len(chosen))[:, None]
-    d_mean = p @ model["W"].T
-    for k, g in (("W", mean.T @ p), ("b", p.sum(axis=0))):
+    p[np.arange(n), y] -= 1
+    p *= (weight / n)[:, None]
+    d_both = p @ model["W"].T
+    for k, g in (("W", both.T @ p), ("b", p.sum(axis=0))):
         square[k] += g * g
         model[k] -= 0.3 * rate * g / np.sqrt(square[k])
-    touched, inverse = np.unique(gram, return_inverse=True)
-    grad = np.stack([np.bincount(inverse, d_mean[unit[of], k] * share, len(touched)) for k in range(DIM)], axis=1)
-    square["E"][touched] += (grad * grad).mean(axis=1)
-    model["E"][touched] -= rate * grad / np.sqrt(square["E"][touched])[:, None]
+    d_word = np.zeros((len(words), DIM))
+    for (doc, w, s), d in zip(parts, (d_both[:, :DIM], d_both[:, DIM:]), strict=True):
+        d_word += np.stack([np.bincount(w, d[doc, k] * s, len(words)) for k in range(DIM)], axis=1)
+    d_word *= per_word[:, None]
+    grad = np.stack([np.bincount(gram, d_word[of, k], BUCKETS) for k in range(DIM)], axis=1)
+    touched = np.flatnonzero(np.bincount(gram, minlength=BUCKETS))
+    square["E"][touched] += (grad[touched] ** 2).mean(axis=1)
+    model["E"][touched] -= rate * grad[touched] / np.sqrt(square["E"][touched])[:, None]
 
 
 def _score_batches(model: dict):

@@ -29,7 +29,7 @@ BITS, SEGMENTS, DISTANCE, SHINGLE = 64, 8, 3, 3
 WIDTH = BITS // SEGMENTS
 #: Of the five segments of a chain, the first two and two of the others are equal.
 CHOICES = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4))
-#: From this many fingerprints under a key on, neighbours are looked up instead of paired.
+#: From this many fingerprints under a key on, candidates are looked up by their few possible differences, not found by going through all.
 LOOKUP_FROM = 12_000
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -104,8 +104,8 @@ def _flips(start: int, choice: int) -> np.ndarray:
 def bucket_links(fp: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within one key's distinct fingerprints, all that the key lets meet.
 
-    Small buckets compare row by row, with the budgets before the full count. Large ones look up
-    each fingerprint's neighbours, whose number does not depend on the bucket's size.
+    The chain of budgets prunes all candidates before the full count. In a large bucket the candidates
+    are looked up, since the differences that a key allows are fewer than the fingerprints under it.
     """
     n = len(fp)
     start, choice = divmod(code, len(CHOICES))
@@ -141,7 +141,9 @@ def bucket_links(fp: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
         for flip in _flips(start, choice):
             other = fp ^ flip
             at = np.minimum(np.searchsorted(order, other), n - 1)
-            for i in np.flatnonzero((order[at] == other) & (other > fp)).tolist():
+            found = np.flatnonzero((order[at] == other) & (other > fp))
+            found = found[within_budget(fp[found], other[found], start)]
+            for i in found[np.bitwise_count(fp[found] ^ other[found]) <= DISTANCE].tolist():
                 keep(i, int(index[at[i]]))
     return np.array(left, U64), np.array(right, U64)
 

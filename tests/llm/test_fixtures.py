@@ -270,7 +270,7 @@ def brute_repeats(texts, length=400):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("split_from", [suffix_dedup.SPLIT_FROM, 2])
+@pytest.mark.parametrize("split_from", [suffix_dedup.SPLIT_FROM, 3, 2])
 def test_repeats(docs, none, texts, split_from):
     assert got(suffix_dedup.remove_repeats(docs, split_from)) == brute_repeats(texts)
     assert suffix_dedup.remove_repeats(none, split_from).count() == 0

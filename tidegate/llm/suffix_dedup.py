@@ -15,7 +15,10 @@ brought together and indexed:
 
 The contexts under one anchor are nearly the same, which is where a run-compressed index is small.
 An anchor with very many different contexts is split by the place of the anchor in the string and by
-the bytes that all strings of that part share, so no task has to hold it whole.
+the bytes that all strings of that part share. What is equal within a part is counted on the map side and
+indexed once; a part that still has very many different contents, as the edges of a passage have that stands in very
+many documents, is split once more into its single strings, which are counted and need no
+index. So no task has to hold the contexts of an anchor whole.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.common import U64, Powers, arrow_map, checkpointed, column_bytes, mix, prefix_hash, range_hash, row_blocks
 
 LENGTH, GRAM = 400, 64
-#: From this many different contexts on, an anchor is split by parts of this width.
+#: From this many different contexts on, an anchor is split by parts of PART starts, and such a part by its starts. The result is the same.
 SPLIT_FROM, PART = 4096, 16
 INDEX_BYTES = 1_500_000
 _SEGMENT = 1 << 23
@@ -199,7 +202,7 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["key"])
 
 
-def _context_batches(batches: Iterator[pa.RecordBatch], split_from: int) -> Iterator[pa.RecordBatch]:
+def _context_batches(batches: Iterator[pa.RecordBatch], split: bool) -> Iterator[pa.RecordBatch]:
     """(doc_id, th, text, wanted contexts) -> a row per context, or per part of a split anchor's context."""
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
@@ -208,8 +211,8 @@ def _context_batches(batches: Iterator[pa.RecordBatch], split_from: int) -> Iter
         for i in range(batch.num_rows):
             raw = data[offs[i] : offs[i + 1]].tobytes()
             for w in wanted[i]:
-                if w["contexts"] < split_from:
-                    out.append((w["key"], raw[w["start"] : w["last"] + LENGTH], w["n"], ids[i], hashes[i], w["start"]))
+                if not split:
+                    out.append((w["key"], raw[w["start"] : w["last"] + LENGTH], w["n"] == 1, ids[i], hashes[i], w["start"]))
                     continue
                 # Part k holds the starts from anchor - (k + 1) * PART + 1 to anchor - k * PART; every string of it has `core`.
                 for k in range((w["anchor"] - w["last"]) // PART, (w["anchor"] - w["start"]) // PART + 1):
@@ -217,7 +220,7 @@ def _context_batches(batches: Iterator[pa.RecordBatch], split_from: int) -> Iter
                     core = raw[high : low + LENGTH]
                     key = int.from_bytes(hashlib.blake2b(core + k.to_bytes(4, "big"), digest_size=8).digest(), "big", signed=True)
                     start, last = max(low, w["start"]), min(high, w["last"])
-                    out.append((key, raw[start : last + LENGTH], w["n"], ids[i], hashes[i], start))
+                    out.append((key, raw[start : last + LENGTH], w["n"] == 1, ids[i], hashes[i], start))
             if len(out) >= 4096:
                 yield _contexts(out)
                 out = []
@@ -226,38 +229,26 @@ def _context_batches(batches: Iterator[pa.RecordBatch], split_from: int) -> Iter
 
 
 def _contexts(rows: list[tuple]) -> pa.RecordBatch:
-    key, body, n, doc, th, start = zip(*rows, strict=True)
+    key, body, single, doc, th, start = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(key, pa.int64()), pa.array(body, pa.binary()), pa.array(n, pa.int64()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(start, pa.int32())],
-        names=["key", "body", "n", "doc_id", "th", "start"],
+        [pa.array(key, pa.int64()), pa.array(body, pa.binary()), pa.array(single, pa.bool_()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(start, pa.int32())],
+        names=["key", "body", "single", "doc_id", "th", "start"],
     )
 
 
-_CONTEXT = "key long, body binary, n long, doc_id long, th long, start int"
+_CONTEXT = "key long, body binary, single boolean, doc_id long, th long, start int"
 _SPAN = "doc_id long, th long, start int, stop int"
 
 
 def _indexed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Spans of repeated strings among contexts (body, n, doc_id, th, start)."""
-    place: dict[bytes, int] = {}
-    texts: list[bytes] = []
-    for row in rows:
-        if row[0] not in place:
-            place[row[0]] = len(texts)
-            texts.append(row[0])
-    of = [place[row[0]] for row in rows]
-    copies = np.bincount(of, minlength=len(texts))
-    index = RunLengthIndex(texts)
+    """Spans of repeated strings among different contents (body, single, doc_id, th, start); only single ones are reported."""
+    index = RunLengthIndex([row[0] for row in rows])
     long = index.matching_statistics() >= LENGTH
     out: list[tuple] = []
-    for row, t in zip(rows, of, strict=True):
-        body, n, doc, th, start = row
-        if n > 1:
-            continue  # a context met twice is marked whole already
+    for t, (body, single, doc, th, start) in enumerate(rows):
+        if not single:
+            continue  # marked whole already
         count = len(body) - LENGTH + 1
-        if copies[t] > 1:
-            out.append((doc, th, start, start + count - 1 + LENGTH))
-            continue
         hit = np.zeros(count + 2, np.int8)
         hit[1:-1] = long[index.base[t] : index.base[t] + count]
         turn = np.flatnonzero(np.diff(hit))
@@ -268,14 +259,14 @@ def _indexed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 
 def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key; keys are gathered whole until there is enough to index."""
+    """Rows sorted by key, each content once; keys are gathered whole until there is enough to index."""
     done: list[tuple] = []
     group: list[tuple] = []
     size, held, key = 0, 0, None
     for batch in batches:
-        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "body", "n", "doc_id", "th", "start")), strict=True):
+        for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "body", "single", "doc_id", "th", "start")), strict=True):
             if k != key:
-                if len(group) > 1 and any(x[1] == 1 for x in group):
+                if len(group) > 1 and any(x[1] for x in group):
                     done += group
                     size += held
                 group, held, key = [], 0, k
@@ -284,12 +275,45 @@ def _index_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     done, size = [], 0
             group.append(tuple(row))
             held += len(row[0])
-    if len(group) > 1 and any(x[1] == 1 for x in group):
+    if len(group) > 1 and any(x[1] for x in group):
         done += group
     if done:
         yield from _indexed(done)
 
 
+def _string_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every string of a context by itself: (digest of the string, doc_id, th, start, single)."""
+    for batch in batches:
+        out: list[tuple] = []
+        for body, single, doc, th, start in zip(*(batch.column(c).to_pylist() for c in ("body", "single", "doc_id", "th", "start")), strict=True):
+            out += [(hashlib.blake2b(body[k : k + LENGTH], digest_size=16).digest(), doc, th, start + k, single) for k in range(len(body) - LENGTH + 1)]
+        if out:
+            digest, doc, th, start, single = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(digest, pa.binary()), pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(start, pa.int32()), pa.array(single, pa.bool_())],
+                names=["digest", "doc_id", "th", "start", "single"],
+            )
+
+
+def _index_spans(contents: DataFrame) -> DataFrame:
+    return arrow_map(contents.repartition("key").sortWithinPartitions("key"), _index_batches, _SPAN)
+
+
+def _split_spans(bodies: DataFrame, split_from: int) -> DataFrame:
+    """Parts of split anchors' contexts (_CONTEXT) -> spans of repeated strings among the different contents of each part."""
+    here = ["doc_id", "th", "start"]
+    contents = checkpointed(bodies.groupBy("key", "body").agg(F.count("*").alias("times"), F.bool_and("single").alias("alone"), *(F.first(c).alias(c) for c in here)))
+    # A content that several contexts share is repeated whole; one that stands alone is looked up in the index of its part.
+    shared = bodies.where("single").join(contents.where("times > 1").select("key", "body"), ["key", "body"], "left_semi")
+    shared = shared.select(*here, (F.col("start") + F.octet_length("body")).cast("int").alias("stop"))
+    hot = checkpointed(contents.groupBy("key").agg(F.count("*").alias("contents")).where(F.col("contents") >= split_from).select("key"))
+    contents = contents.withColumn("single", F.col("alone") & (F.col("times") == 1)).select("key", "body", "single", *here)
+    strings = arrow_map(contents.join(hot, "key"), _string_batches, "digest binary, doc_id long, th long, start int, single boolean")
+    again = strings.groupBy("digest").agg(F.count("*").alias("times")).where("times > 1").select("digest")
+    strings = strings.where("single").join(again, "digest", "left_semi").select(*here, (F.col("start") + LENGTH).cast("int").alias("stop"))
+    return shared.unionByName(_index_spans(contents.join(hot, "key", "left_anti"))).unionByName(strings)
+
+
 def _result_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
@@ -330,16 +354,19 @@ def repeated_spans(docs: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:
     contexts = checkpointed(seen.groupBy(*context).agg(F.count("*").alias("n"), *one))
     whole = seen.join(contexts.where("n > 1").select(*context), context, "left_semi")
     whole = whole.select("doc_id", "th", "start", (F.col("last") + LENGTH).cast("int").alias("stop"))
-    varied = contexts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1")
-    wanted = contexts.join(varied, "key").select("doc_id", "th", F.struct("key", "start", "last", "anchor", "n", "contexts").alias("w"))
-    wanted = wanted.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_list("w").alias("wanted"))
+    varied = checkpointed(contexts.groupBy("key").agg(F.count("*").alias("contexts")).where("contexts > 1"))
     # A context is read from any one of the rows that agree in id and text.
     one_of = docs.where(F.octet_length("text") >= LENGTH)
-    bodies = one_of.join(wanted, one_of["doc_id"].eqNullSafe(wanted["_d"]) & (one_of["th"] == wanted["_t"])).select("doc_id", "th", "text", "wanted")
-    bodies = arrow_map(bodies, partial(_context_batches, split_from=split_from), _CONTEXT)
-    dealt = bodies.repartition("key").sortWithinPartitions("key")
-    parts = arrow_map(dealt, _index_batches, _SPAN)
-    return whole.unionByName(parts)
+
+    def bodies(test: str, split: bool) -> DataFrame:
+        wanted = contexts.join(varied.where(test), "key").select("doc_id", "th", F.struct("key", "start", "last", "anchor", "n").alias("w"))
+        wanted = wanted.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_list("w").alias("wanted"))
+        found = one_of.join(wanted, one_of["doc_id"].eqNullSafe(wanted["_d"]) & (one_of["th"] == wanted["_t"])).select("doc_id", "th", "text", "wanted")
+        return arrow_map(found, partial(_context_batches, split=split), _CONTEXT)
+
+    out = whole.unionByName(_index_spans(bodies(f"contexts < {split_from}", False)))
+    many = f"contexts >= {split_from}"
+    return out if varied.where(many).isEmpty() else out.unionByName(_split_spans(checkpointed(bodies(many, True)), split_from))
 
 
 def remove_repeats(docs: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:

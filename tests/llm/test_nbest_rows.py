@@ -33,3 +33,28 @@ def test_a_wrong_alternative_is_seen(monkeypatch, vocabulary):  # noqa: F811
     monkeypatch.setattr(pieces, "changed", lambda ids, changes: ids[:-1] if changes else ids)
     out = next(pieces._encode_batches(iter([batch]), vocabulary, 3)).to_pylist()[0]
     assert len(out["nbest_ids"]) == 3 and not out["round_trip"]
+
+
+def test_links_and_pieces_that_share_a_hash_are_told_apart(monkeypatch, vocabulary, texts):  # noqa: F811
+    """With a hash of 8 values, only bytes tell links and pieces apart."""
+    some = [t for _, t, *_ in texts if t and len(t) < 300][:12] + ["the cat", "thecat  the", "é the\ncat"]
+    want = [pieces.Encoder(vocabulary, 3).encode(t) for t in some]
+    real = pieces.range_hash
+    monkeypatch.setattr(pieces, "range_hash", lambda p, s, e: real(p, s, e) & pieces.U64(7))
+    import numpy as np
+
+    data = np.frombuffer(b"abcabdabcx", np.uint8)
+    begin, end = np.array([0, 3, 6, 9]), np.array([3, 6, 9, 10])
+    first, which = pieces.split_collisions(data, begin, end, np.array([0]), np.zeros(4, int))
+    assert [data[begin[k] : end[k]].tobytes() for k in first[which]] == [b"abc", b"abd", b"abc", b"x"]
+    monkeypatch.undo()
+    monkeypatch.setattr(pieces, "range_hash", lambda p, s, e: np.where(e - s > 12, real(p, s, e) & pieces.U64(7), real(p, s, e)))
+    assert [pieces.Encoder(vocabulary, 3).encode(t) for t in some] == want
+
+
+def test_long_links_against_all_segmentations(vocabulary):  # noqa: F811
+    """A link over LONG bytes is searched by itself; the n best are those of one search over the whole lattice."""
+    for text in ("catthe" * 12, "thecat  the" + "hecat" * 14 + " q the"):
+        found = pieces.Encoder(vocabulary, 3).encode(text)
+        whole = vocabulary.n_best(" " + text, 3)
+        assert [round(s, 6) for s, _ in found] == [round(s, 6) for s, _ in whole] and all(vocabulary.decode(i) == text for _, i in found)

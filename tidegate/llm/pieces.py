@@ -143,6 +143,27 @@ def changed(ids: np.ndarray, changes: list[tuple[int, tuple[int, ...], tuple[int
     return np.concatenate([*parts, ids[end:]]) if parts else ids
 
 
+def split_collisions(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links data[begin:end] in classes by hash (first of each class, class of each link) -> classes of equal bytes."""
+    size = end - begin
+    like = first[which]
+    same = size == size[like]
+    link = np.repeat(np.flatnonzero(same), size[same])
+    step = np.arange(len(link)) - np.repeat(np.cumsum(size[same]) - size[same], size[same])
+    same[link[data[begin[link] + step] != data[begin[like[link]] + step]]] = False
+    if same.all():
+        return first, which
+    first, which = first.tolist(), which.copy()
+    apart: dict[bytes, int] = {}
+    for k in np.flatnonzero(~same).tolist():
+        raw = data[begin[k] : end[k]].tobytes()
+        if raw not in apart:
+            apart[raw] = len(first)
+            first.append(k)
+        which[k] = apart[raw]
+    return np.array(first), which
+
+
 class Encoder:
     """Segments blocks of texts; made once per worker and vocabulary."""
 
@@ -163,6 +184,9 @@ class Encoder:
             keys = range_hash(prefix_hash(np.frombuffer(b"".join(texts), np.uint8)), end - size, end)
         order = np.argsort(keys)
         self.keys, self.ids, self.scores = keys[order], ids[order], scores[order]
+        #: The pieces' bytes in the order of keys: hashes find candidates, bytes decide.
+        self.raw, self.raw_at = np.frombuffer(b"".join(texts), np.uint8), (end - size)[order]
+        self.raw_size = size[order]
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[(keys >> U64(64 - _BITS)).astype(np.int64)] = True
         self.penalty = vocabulary.worst - UNKNOWN_PENALTY
@@ -193,8 +217,14 @@ class Encoder:
             ok = self.filter[(key >> U64(64 - _BITS)).astype(np.int64)]
             k, key = k[ok], key[ok]
             where = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = self.keys[where] == key
+            ok = (self.keys[where] == key) & (self.raw_size[where] == n)
             k, where = k[ok], where[ok]
+            if len(k):
+                ok = np.ones(len(k), bool)
+                for j in range(n):
+                    ok &= data[at[k] + j] == self.raw[self.raw_at[where] + j]
+                if not ok.all():
+                    k, where = k[ok], where[ok]
             known[k[width[k] == n]] = True
             found.append((link[k], place[k], place[k] + n, self.ids[where], self.scores[where]))
         k = np.flatnonzero(lead & ~known)
@@ -285,6 +315,7 @@ class Encoder:
         with np.errstate(over="ignore"):
             hashed = range_hash(prefix_hash(data), begin, end)
         _, first, which = np.unique(hashed, return_index=True, return_inverse=True)
+        first, which = split_collisions(data, begin, end, first, which)
         b, e = begin[first], end[first]
         small = np.flatnonzero(e - b <= LONG)
         large = np.flatnonzero(e - b > LONG)

@@ -183,8 +183,28 @@ _OTHERS = re.compile(_FORMS)
 #: A run of digit groups of any length is a candidate for cards.
 _NUMBERS = re.compile(_FORMS + r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,}(?!\w))")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)")
-#: Lengths of IBANs, by country.
-IBAN_LENGTHS = {c: int(n) for n, cs in (x.split(":") for x in "15:NO 16:BE 18:DK FI FO GL NL SD FK 19:MK SI 20:AT BA EE KZ LT LU XK MN 21:CH HR LI LV 22:BG BH CR DE GB GE IE ME RS VA 23:AE GI IL IQ OM TL SO 24:AD CZ ES MD PK RO SA SE SK TN VG 25:LY PT ST 26:IS TR 27:BI DJ FR GR IT MC MR SM 28:AL AZ BY CY DO GT HN HU LB NI PL SV 29:BR EG PS QA UA 30:JO KW MU 31:MT SC 32:LC 33:RU".replace(" 1", ";1").replace(" 2", ";2").replace(" 3", ";3").split(";")) for c in cs.split()}
+#: The countries whose IBANs have so many characters.
+_COUNTRIES = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+IBAN_LENGTHS = {c: n for n, names in _COUNTRIES.items() for c in names.split()}
 #: How the digits of cards are grouped in print.
 _CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 5), (6, 13))
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w.+%-]+@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)+")

@@ -1,4 +1,8 @@
-"""The queries of this subpackage: thin wrappers that apply each operator to its whole table."""
+"""The queries of this subpackage: thin wrappers that apply each operator to its whole table.
+
+Nulls in any column, empty and long texts, ties, repeated rows, empty tables and further columns of any name have
+the results that the operators' docstrings state; the wrappers add nothing to them.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +21,10 @@ from tidegate.llm.simhash import simhash_components
 from tidegate.llm.suffix_dedup import remove_repeats
 
 
+#: The session's setting that holds the secret key of op10; without it an example key is used.
+PSEUDONYM_KEY = "tidegate.pseudonym.key"
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -56,7 +64,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymised(read_table(spark, sf_dir, "documents"), b"an example key for the query")
+    key = spark.conf.get(PSEUDONYM_KEY, None) or "an example key, to be replaced by a secret one"
+    return pseudonymised(read_table(spark, sf_dir, "documents"), key.encode())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

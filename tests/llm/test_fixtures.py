@@ -123,31 +123,16 @@ def test_simhash_components(docs, none, texts):
     assert simhash.simhash_components(none).count() == 0
 
 
-def brute_wide(text: str) -> int:
-    """512 majority bits over the set of five-word shingles, hashed by an integer splitmix64."""
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
-    words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
-    sh = {" ".join(words[k : k + 5]) for k in range(len(words) - 4)} or ({" ".join(words)} if words else set())
-
-    def mixed(h: int) -> int:
-        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-            h = (h ^ h >> shift) * factor % 2**64
-        return h ^ h >> 31
-
-    seeds = [mixed(0x9E3779B97F4A7C15 * k % 2**64) for k in range(1, 9)]
-    ones = np.zeros(512, int)
-    for s in sh:
-        h = xxhash.xxh64_intdigest(s.encode(), 42)
-        ones += [mixed((h + x) % 2**64) >> b & 1 for x in seeds for b in range(64)]
-    return sum(1 << k for k in range(512) if 2 * ones[k] > len(sh))
-
-
 def brute_near_groups(texts: list[str]) -> list[int]:
-    """A group number per text: 3 bits of 64, or 84 of 512, over any number of links."""
-    fp, wide = [brute_fingerprint(t) for t in texts], [brute_wide(t) for t in texts]
+    """A group number per text: Jaccard similarity of 0.8 or more of the five-word shingle sets, over any number of links; no words are like no words."""
+    sets = []
+    for t in texts:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set()))
     label = list(range(len(texts)))
     for a, b in itertools.combinations(range(len(texts)), 2):
-        if label[a] != label[b] and ((fp[a] ^ fp[b]).bit_count() <= 3 or (wide[a] ^ wide[b]).bit_count() <= 84):
+        if label[a] != label[b] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
             old, new = label[b], label[a]
             label = [new if x == old else x for x in label]
     return label

@@ -1,6 +1,6 @@
 """Near-dedup for pipelines: five-word shingles, Jaccard similarity of 0.8 or more, decided exactly.
 
-A document's set of word shingles has a 512-bit SimHash fingerprint and 16 bands of 5 min-hashes. For sets of
+A document's set of word shingles has a 512-bit SimHash fingerprint and 24 bands of 5 min-hashes. For sets of
 Jaccard similarity s the share of differing bits is about acos(2s / (1 + s)) / pi, 77 bits at s = 0.8 with a
 standard deviation of 8 bits; sets of 4 and 5 shingles are the worst case, with 96 and 9. Documents that
 share a band and differ in at most 140 bits are candidates, which loses fewer than one in 10**6 of the pairs at
@@ -8,7 +8,7 @@ share a band and differ in at most 140 bits are candidates, which loses fewer th
 What differs in at most 3 bits of the 64-bit fingerprint (`simhash`) is a candidate too.
 
 At this radius no exact segment key stays selective, so what is compared are documents that share
-a band; of 16 bands at least one is shared with probability 0.998 at s = 0.8 and more above. The pigeonring
+a band; of 24 bands at least one is shared with probability 0.99993 at s = 0.8 and more above. The pigeonring
 chains of the ring of 8 words then prune before the full Hamming check.
 """
 
@@ -26,7 +26,7 @@ from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix,
 from tidegate.llm.simhash import component_roots, fingerprint, fingerprint_links, shingles
 
 SHINGLE, WORDS, RADIUS = 5, 8, 140
-BANDS, DEPTH = 16, 5
+BANDS, DEPTH = 24, 5
 #: Budgets are checked along chains of this many segments before all bits are counted.
 CHAIN = 3
 _CHUNK = 4096

@@ -119,7 +119,7 @@ def _misspelt(word: bytes, rng: np.random.Generator) -> bytes:
     return word[:k] + word[k : k + 1].translate(DISGUISE) + word[k + 1 :] if rng.random() < 0.5 else word.translate(DISGUISE)
 
 
-def train(texts: list[str], labels: list[int], steps: int = 1200, whole: float = 0.2, batch: int = 32, seed: int = 3, rate: float = 0.3, lean: float = 2.0) -> dict:
+def train(texts: list[str], labels: list[int], steps: int = 3000, whole: float = 0.5, batch: int = 32, seed: int = 3, rate: float = 0.3, lean: float = 2.0) -> dict:
     """Fit embeddings and softmax jointly by Adagrad in 8 to 60 epochs, the toxic documents weighing `lean` times as much in all as the others.
 
     In the first share `whole` of the epochs the whole document stands for its most toxic passage too; then that

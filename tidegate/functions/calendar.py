@@ -13,13 +13,14 @@ def settlement_days(spark: SparkSession, first: str, last: str) -> DataFrame:
 
 
 def settlement_calendar(days: DataFrame, zone: str = "Europe/London", minutes: int = 30) -> DataFrame:
-    """days(settlement_date) -> a row per period: 48 on ordinary days, 46 or 50 where the clock changes."""
+    """days(settlement_date) -> a row per period: 48 on ordinary days, 46 or 50 where the clock changes, which dst_flag marks."""
     start = F.to_utc_timestamp(F.col("settlement_date").cast("timestamp"), zone)
     end = F.to_utc_timestamp(F.date_add("settlement_date", 1).cast("timestamp"), zone)
     step = F.expr(f"interval {minutes} minutes")
-    slots = days.select("settlement_date", F.posexplode(F.sequence(start, end - step, step)).alias("at", "start_utc"))
+    starts = days.select("settlement_date", F.sequence(start, end - step, step).alias("starts"))
+    slots = starts.select("settlement_date", F.size("starts").alias("periods"), F.posexplode("starts").alias("at", "start_utc"))
     local = F.from_utc_timestamp("start_utc", zone)
-    hours = (F.unix_timestamp(local) - F.unix_timestamp("start_utc")) / 3600
+    ordinary = 24 * 60 // minutes
     return slots.select(
         "settlement_date",
         (F.col("at") + 1).cast("int").alias("period"),
@@ -27,7 +28,7 @@ def settlement_calendar(days: DataFrame, zone: str = "Europe/London", minutes: i
         (F.col("start_utc") + step).alias("end_utc"),
         local.alias("local_start"),
         F.lit(minutes).alias("duration_minutes"),
-        (hours != 0).alias("dst_flag"),
+        (F.col("periods") != ordinary).alias("dst_flag"),
         F.lit(1).alias("calendar_version"),
     )
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,6 +12,8 @@ from tidegate.functions.calendar import date_dimension, interval_dimension, sett
 from tidegate.functions.keys import date_key, surrogate
 from tidegate.operators import checks, history, merge, rows, star
 from tidegate.operators.control import publishable, reconcile
+from tidegate.plans.replay import scratch
+from tidegate.sources.tables import Table
 
 Query = Callable[[SparkSession, str], DataFrame]
 FOUND: dict[str, Query] = {}
@@ -94,11 +95,7 @@ def reject_classifier(t):
 def accept_reject_split_counts(t):
     """Accepted and rejected halves of one input, counted."""
     judged = rows.with_reason(t("lineitem"), line_rules())
-    bad = rows.rejected(judged, "lineitem", "r1").select(F.col("rejection_reason").alias("outcome"))
-    good = rows.accepted(judged).select(F.lit("ACCEPTED").alias("outcome"))
-    return bad.unionByName(good).groupBy("outcome").agg(F.count("*").alias("n"))
-
-
+    return judged.groupBy(F.coalesce("rejection_reason", F.lit("ACCEPTED")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(l_shipdate AS DATE) AS shipdate FROM (SELECT *, row_number() OVER (
@@ -188,12 +185,38 @@ def scd2_history(t):
     return event_history(t)
 
 
-@query("SELECT CAST(0 AS BIGINT) AS n")
+#: Spans of orders that overlap here and there: a customer's order is open for as many days as its key says.
+SPANS = "SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS valid_from, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 90 AS INTEGER) AS valid_to FROM orders"
+
+
+def order_spans(t) -> DataFrame:
+    day = F.col("o_orderdate").cast("date")
+    return t("orders").select("o_custkey", "o_orderkey", day.alias("valid_from"), F.date_add(day, (F.col("o_orderkey") % 90).cast("int")).alias("valid_to"))
+
+
+@query(f"""WITH s AS ({SPANS}), n AS (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from, valid_to) AS following FROM s)
+    SELECT o_custkey, count(*) AS n FROM n WHERE following < valid_to GROUP BY 1""")
 def scd2_overlap_check(t):
-    """Versions that overlap: none in a built history."""
+    """Versions that reach into the next one of their key, where there are some."""
+    return history.overlaps(order_spans(t), "o_custkey").groupBy("o_custkey").agg(F.count("*").alias("n"))
+
+
+@query(HISTORY + " SELECT count(*) AS n FROM h a JOIN h b ON a.user_id = b.user_id AND a.valid_from < b.valid_from AND b.valid_from < a.valid_to")
+def scd2_built_without_overlaps(t):
+    """A built history has no overlaps; the oracle looks at all pairs of versions."""
     return history.overlaps(event_history(t), "user_id").agg(F.count("*").alias("n"))
 
 
+@query(f"""WITH s AS ({SPANS}), f AS (SELECT c_custkey, d.day FROM customer, (SELECT DATE '1996-01-01' + CAST(i * 40 AS INTEGER) AS day FROM range(0, 20) r(i)) d)
+    SELECT c_custkey, day, count(s.o_orderkey) AS open_orders, max(s.o_orderkey) AS newest FROM f LEFT JOIN s ON o_custkey = c_custkey AND day >= valid_from AND day < valid_to GROUP BY 1, 2""")
+def effective_dated_join_by_date(t):
+    """Days and the versions valid on them, by date: start <= day < end; several where versions overlap, none where there is a gap."""
+    days = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.date_add(F.lit("1996-01-01").cast("date"), i * 40))
+    facts = t("customer").select("c_custkey", F.explode(days).alias("day"))
+    found = history.effective_join(facts, order_spans(t), ("c_custkey", "o_custkey"), "day", "valid_from", "valid_to", {"order": "o_orderkey"})
+    return found.groupBy("c_custkey", "day").agg(F.count("order").alias("open_orders"), F.max("order").alias("newest"))
+
+
 @query(HISTORY + " SELECT event_id, e.user_id, h.event_type AS version_type, h.valid_from FROM events e LEFT JOIN h ON e.user_id = h.user_id AND e.ts >= h.valid_from AND e.ts < h.valid_to")
 def effective_dated_join(t):
     """Each event with the version valid at its time."""
@@ -242,10 +265,10 @@ def dim_interval(t):
 
 @query("""WITH d AS (SELECT DATE '2026-03-28' + CAST(i AS INTEGER) AS day FROM range(0, 240) r(i)),
     b AS (SELECT day, timezone('Europe/London', CAST(day AS TIMESTAMP)) AS a, timezone('Europe/London', CAST(day + 1 AS TIMESTAMP)) AS z FROM d)
-    SELECT CAST(day AS DATE) AS settlement_date, CAST((epoch(z) - epoch(a)) / 1800 AS BIGINT) AS periods FROM b""")
+    SELECT CAST(day AS DATE) AS settlement_date, CAST((epoch(z) - epoch(a)) / 1800 AS BIGINT) AS periods, (epoch(z) - epoch(a)) / 1800 <> 48 AS changed FROM b""")
 def dst_calendar(t):
-    """Periods of each day around both clock changes of a year: 46, 48 or 50."""
-    return settlement_calendar(settlement_days(t.spark, "2026-03-28", "2026-11-22")).groupBy("settlement_date").agg(F.count("*").alias("periods"))
+    """Periods of each day around both clock changes of a year: 46, 48 or 50, and the flag of the days of the change."""
+    return settlement_calendar(settlement_days(t.spark, "2026-03-28", "2026-11-22")).groupBy("settlement_date").agg(F.count("*").alias("periods"), F.bool_and("dst_flag").alias("changed"))
 
 
 @query("""SELECT user_id, CAST(ts AS DATE) AS day, CAST(sum(CAST(value AS DECIMAL(18,3))) AS DECIMAL(28,3)) AS total, CAST(count(*) AS INTEGER) AS n, arg_max(event_type, ts) AS last_type
@@ -262,8 +285,8 @@ def completeness_ratio(t):
     """Seen against expected, as a share."""
     e = t("events")
     hours = e.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count_distinct("user_id").alias("seen"))
-    expected = e.agg(F.count_distinct("user_id").alias("n"))  # one row
-    return hours.join(F.broadcast(expected)).select(ntz("hour").alias("hour"), "seen", F.round(F.col("seen").cast("double") / F.col("n"), 6).alias("completeness"))
+    expected = e.agg(F.count_distinct("user_id").alias("n")).scalar()
+    return hours.select(ntz("hour").alias("hour"), "seen", F.round(F.col("seen").cast("double") / expected, 6).alias("completeness"))
 
 
 CONTROL = """WITH l AS (SELECT CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS month, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS target_total, count(*) AS target_count FROM lineitem GROUP BY 1),
@@ -317,24 +340,79 @@ def dq_summary(t):
     return found.unionByName(lost).select("check_name", F.round("value", 6).alias("value"), "passed")
 
 
-@query("""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total, year(o_orderdate) % 2 = 0 AS rebuilt FROM orders GROUP BY 1, 4""")
+def table(t, partition: str | None = None) -> Table:
+    """A new table in the shared folder."""
+    return Table(t.spark, scratch(t.spark), partition)
+
+
+def priced(t) -> DataFrame:
+    return t("orders").select("o_orderkey", "o_orderstatus", money(F.col("o_totalprice")).alias("price"), F.year("o_orderdate").alias("year"))
+
+
+TOTALS = "count(*) AS n, CAST(sum({}) AS DECIMAL(28,2)) AS total"
+PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
+
+
+def totals(df: DataFrame, *by: str) -> DataFrame:
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.sum("price").cast("decimal(28,2)").alias("total"))
+
+
+@query(f"SELECT CAST(year(o_orderdate) AS INTEGER) AS year, year(o_orderdate) % 2 = 0 AS rebuilt, {TOTALS.format(f'CASE WHEN year(o_orderdate) % 2 = 0 THEN {PRICE} + 1 ELSE {PRICE} END')} FROM orders GROUP BY 1, 2")
 def dynamic_partition_overwrite(t):
-    """What a table has after the partitions of even years were replaced: the change set's partitions stand, the others stay."""
-    year = F.year("o_orderdate")
-    base = t("orders").select("o_orderkey", F.col("o_totalprice"), year.alias("year"), F.lit(False).alias("rebuilt"))
-    change = t("orders").where(year % 2 == 0).select("o_orderkey", "o_totalprice", year.alias("year"), F.lit(True).alias("rebuilt"))
-    after = base.join(change.select("year").distinct(), "year", "left_anti").unionByName(change)
-    return after.groupBy("year", "rebuilt").agg(F.count("*").alias("n"), F.sum(money(F.col("o_totalprice"))).cast("decimal(28,2)").alias("total"))
+    """A partitioned table after the partitions of even years were replaced: those alone are written."""
+    base = priced(t).withColumn("rebuilt", F.lit(False))
+    target = table(t, "year")
+    target.append(base)
+    even = base.where("year % 2 = 0").withColumn("price", money(F.col("price") + 1)).withColumn("rebuilt", F.lit(True))
+    target.overwrite_partitions(even)
+    return totals(target.read(), "year", "rebuilt")
 
 
-@query("SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total FROM orders GROUP BY 1")
+@query(f"SELECT o_orderstatus, {TOTALS.format(PRICE)} FROM orders GROUP BY 1")
 def idempotent_rerun(t):
-    """Merging the same change set twice leaves what merging it once left."""
-    target = t("orders").select("o_orderkey", "o_orderstatus", money(F.col("o_totalprice")).alias("price"))
-    change = target.where(F.col("o_orderkey") % 3 == 0)
-    once = merge.merge_rows(target.where(F.col("o_orderkey") % 2 == 0), target.where(F.col("o_orderkey") % 2 == 1), ["o_orderkey"])
-    twice = reduce(lambda d, _: merge.merge_rows(d, change, ["o_orderkey"]), range(2), once)
-    return twice.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.sum("price").cast("decimal(28,2)").alias("total"))
+    """A change set merged into a partitioned table twice leaves what merging it once left."""
+    target = table(t, "year")
+    target.append(priced(t).where("o_orderkey % 2 = 0"))
+    for change in ("o_orderkey % 2 = 1", "o_orderkey % 3 = 0", "o_orderkey % 3 = 0"):
+        target.merge(priced(t).where(change), ["o_orderkey"])
+    return totals(target.read(), "o_orderstatus")
+
+
+@query(f"""SELECT CASE WHEN o_orderkey % 5 = 0 THEN 2000 ELSE CAST(year(o_orderdate) AS INTEGER) END AS year, {TOTALS.format(f'CASE WHEN o_orderkey % 5 = 0 THEN {PRICE} * 2 ELSE {PRICE} END')}
+    FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1""")
+def merge_moves_partitions(t):
+    """A guarded merge whose newer rows move to another partition and leave none behind, then a delete by key."""
+    target = table(t, "year")
+    target.append(priced(t).withColumn("version", F.lit(1)))
+    moved = priced(t).where("o_orderkey % 5 = 0").select("o_orderkey", "o_orderstatus", money(F.col("price") * 2).alias("price"), F.lit(2000).alias("year"), F.lit(2).alias("version"))
+    newer = lambda s, o: s("version") >= o("version")
+    target.merge(moved, ["o_orderkey"], newer)
+    target.merge(priced(t).where("o_orderkey % 10 = 0").withColumn("version", F.lit(1)), ["o_orderkey"], newer)  # older: changes nothing
+    target.delete_keys(priced(t).where("o_orderkey % 7 = 0"), ["o_orderkey"])
+    return totals(target.read(), "year")
+
+
+@query(f"SELECT run, {TOTALS.format('price')} FROM (SELECT 'b' AS run, {PRICE} + 1 AS price FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'a', {PRICE} FROM orders) GROUP BY 1")
+def rerun_replaces_its_slice(t):
+    """A run's rows are taken out and written again; those of other runs stay."""
+    target = table(t, "run")
+    for run, part, more in (("a", "true", 0), ("b", "o_orderkey % 3 = 0", 9), ("b", "o_orderkey % 2 = 0", 1)):
+        target.overwrite_partitions(priced(t).where(part).withColumn("price", money(F.col("price") + more)).withColumn("run", F.lit(run)), [run])
+    return totals(target.read(), "run")
+
+
+@query("""SELECT 'now' AS at, channel, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 2 = 1 THEN 'web' END AS channel FROM orders) GROUP BY 2
+    UNION ALL SELECT 'before', NULL, count(*) FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'replaced', NULL, count(*) FROM orders WHERE o_orderstatus = 'F'""")
+def table_grows_and_is_replaced(t):
+    """An append with a new column, the snapshot before it, and a replacement of the whole table."""
+    target = table(t)
+    target.append(priced(t).where("o_orderkey % 2 = 0"))
+    target.append(priced(t).where("o_orderkey % 2 = 1").withColumn("channel", F.lit("web")))
+    grown = target.read().groupBy("channel").agg(F.count("*").alias("n")).select(F.lit("now").alias("at"), "channel", "n")
+    before = target.read(version=1).agg(F.count("*").alias("n")).select(F.lit("before").alias("at"), F.lit(None).cast("string").alias("channel"), "n")
+    target.replace(priced(t).where("o_orderstatus = 'F'"))
+    after = target.read().agg(F.count("*").alias("n")).select(F.lit("replaced").alias("at"), F.lit(None).cast("string").alias("channel"), "n")
+    return grown.unionByName(before).unionByName(after)
 
 
 @query(f"SELECT * FROM (SELECT {REASONS} AS rejection_reason, CAST(l_orderkey AS VARCHAR) AS order_text, l_returnflag AS flag_text FROM lineitem) WHERE rejection_reason IS NOT NULL")

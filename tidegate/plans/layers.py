@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ OPERATIONS = {"I": "INSERT", "U": "UPDATE", "D": "DELETE"}
 READING_TYPES = ("HALF_HOURLY",)
 QUALITY = (("A", "Actual"), ("E", "Estimated"), ("UNKNOWN", "Unknown"))
 AUDIT = ("operation", "source_commit_ts", "ingested_at", "batch_run_id")
-PARTITIONS = {"conformed/meter_reading": "settlement_date", "mart/fact_meter_reads": "date_key", "mart/fact_consumption_daily": "date_key", "mart/report_daily_consumption": "date_key", "mart/fact_reconciliation": "batch_run_id", "control/rejects": "slice", "control/dq_result": "run_id", "control/landed": "slice"}
+PARTITIONS = {"conformed/meter_reading": "settlement_date", "mart/fact_meter_reads": "date_key", "mart/fact_consumption_daily": "date_key", "mart/day_total": "date_key", "mart/report_daily_consumption": "date_key", "mart/fact_reconciliation": "batch_run_id", "control/rejects": "slice", "control/dq_result": "run_id", "control/landed": "slice"}
 
 
 class DataQualityFailure(RuntimeError):
@@ -106,8 +107,8 @@ def _landed(lake: Lake, name: str, keys: list[str], run_id: str) -> DataFrame:
     """Files of like schema are read together; widths that differ within a family meet in the canonical type."""
     contract = SOURCES[name]
     groups: dict[tuple, list[str]] = {}
-    for k in keys:
-        schema = lake.spark.read.parquet(lake.landing.uri(k)).schema
+    schemas = together([lambda k=k: lake.spark.read.parquet(lake.landing.uri(k)).schema for k in keys], 16)
+    for k, schema in zip(keys, schemas, strict=True):
         groups.setdefault(tuple((f.name, f.dataType.simpleString()) for f in schema), []).append(k)
     parts = []
     for files in groups.values():
@@ -162,11 +163,11 @@ def _reject(lake: Lake, judged: DataFrame, table: str, run_id: str) -> None:
     lake.table("control/rejects").overwrite_partitions(bad, [f"{run_id}/{table}"])
 
 
-def conform_readings(lake: Lake, run_id: str) -> dict:
-    """Type, validate, pick the highest version and merge by version: {rows_in, rows_rejected}."""
+def conform_readings(lake: Lake, run_id: str) -> tuple[dict, list[str]]:
+    """Type, validate, pick the highest version and merge by version: {rows_in, rows_rejected}, and the days touched."""
     raw = _slice(lake, "meter_reading", run_id)
     if raw is None:
-        return {"rows_in": 0, "rows_rejected": 0}
+        return {"rows_in": 0, "rows_rejected": 0}, []
     raw = raw.where(~F.col("operation").eqNullSafe("DELETE"))
     slots = rows.latest_by(lake.df("conformed/settlement_calendar"), ["start_utc"], F.desc("calendar_version"), F.desc("settlement_date"), F.desc("period"))
     slots = slots.select(F.col("start_utc").alias("_start"), "settlement_date", "period")
@@ -193,18 +194,23 @@ def conform_readings(lake: Lake, run_id: str) -> dict:
         before = table.read().select("reading_id", F.col("settlement_date").alias("previous_date")) if table.exists() else None
         # A version that moves a reading to another day leaves a stale day behind: both are rebuilt.
         source = source.withColumn("previous_date", F.lit(None).cast("date")) if before is None else source.join(before, "reading_id", "left")
-        table.merge(source, ["reading_id"], lambda s, t: s("version") >= t("version"))
+        source = source.persist()
+        try:
+            held = [r[0] for r in source.select("previous_date").where("previous_date is not null").distinct().collect()]  # days
+            days = table.merge(source, ["reading_id"], lambda s, t: s("version") >= t("version"), held)
+        finally:
+            source.unpersist()
         counts = judged.agg(F.count("*").alias("n"), F.count("rejection_reason").alias("bad")).first()
-        return {"rows_in": counts["n"], "rows_rejected": counts["bad"]}
+        return {"rows_in": counts["n"], "rows_rejected": counts["bad"]}, days
     finally:
         judged.unpersist()
 
 
-def conform_corrections(lake: Lake, run_id: str) -> dict:
-    """Validate corrections against known readings; the newest per reading stands."""
+def conform_corrections(lake: Lake, run_id: str) -> tuple[dict, list[str]]:
+    """Validate corrections against known readings; the newest per reading stands: {rows_in, rows_rejected}, and the days of their readings."""
     raw = _slice(lake, "reading_correction", run_id)
     if raw is None:
-        return {"rows_in": 0, "rows_rejected": 0}
+        return {"rows_in": 0, "rows_rejected": 0}, []
     raw = raw.where(~F.col("operation").eqNullSafe("DELETE"))
     known = rows.known_keys(raw, lake.df("conformed/meter_reading"), "reading_id", "_known_reading")
     rules = [
@@ -222,17 +228,17 @@ def conform_corrections(lake: Lake, run_id: str) -> dict:
         source = best.select("correction_id", "reading_id", "meter_id", "reading_ts", "version", "replacement_kwh", "reason", "corrected_at", "batch_run_id")
         lake.table("conformed/reading_correction").merge(source, ["reading_id"], lambda s, t: s("corrected_at") > t("corrected_at"))
         counts = judged.agg(F.count("*").alias("n"), F.count("rejection_reason").alias("bad")).first()
-        return {"rows_in": counts["n"], "rows_rejected": counts["bad"]}
+        return {"rows_in": counts["n"], "rows_rejected": counts["bad"]}, lake.table("conformed/meter_reading").holding(source, ["reading_id"])
     finally:
         judged.unpersist()
 
 
-def finalize_readings(lake: Lake, run_id: str) -> None:
-    """Readings and corrections of the run meet; a correction wins only if newer than the reading."""
+def finalize_readings(lake: Lake, run_id: str, days: list[str]) -> None:
+    """Readings and corrections of the run meet; a correction wins only if newer than the reading. Only the run's days are read and written."""
     table, fixes = lake.table("conformed/meter_reading"), lake.table("conformed/reading_correction")
-    if not table.exists() or not fixes.exists():
+    if not days or not table.exists() or not fixes.exists():
         return
-    target = table.read()
+    target = table.read(days)
     names = target.columns
     fix = fixes.read().select("reading_id", F.col("replacement_kwh").alias("_kwh"), F.col("corrected_at").alias("_at"), F.col("batch_run_id").alias("_run"))
     touched = (F.col("last_batch_run_id") == run_id) | F.coalesce(F.col("_run") == run_id, F.lit(False))
@@ -242,7 +248,7 @@ def finalize_readings(lake: Lake, run_id: str) -> None:
         "correction_applied": F.when(touched, wins).otherwise(F.col("correction_applied")),
         "last_batch_run_id": F.when(touched, F.lit(run_id)).otherwise(F.col("last_batch_run_id")),
     }
-    table.replace(target.join(fix, "reading_id", "left").select(*(new[c].alias(c) if c in new else F.col(c) for c in names)))
+    table.overwrite_partitions(target.join(fix, "reading_id", "left").select(*(new[c].alias(c) if c in new else F.col(c) for c in names)), days)
 
 
 def conform_history(lake: Lake) -> None:
@@ -255,13 +261,14 @@ def conform_history(lake: Lake) -> None:
 
 def conform(lake: Lake, run_id: str, held: set[str] = frozenset()) -> dict:
     together([lambda n=name: conform_current(lake, n) for name in CURRENT_STATE if name not in held])
-    none = {"rows_in": 0, "rows_rejected": 0}
-    out = {"readings": none if "meter_reading" in held else conform_readings(lake, run_id)}
-    out["corrections"] = none if "reading_correction" in held else conform_corrections(lake, run_id)
-    finalize_readings(lake, run_id)
+    none = {"rows_in": 0, "rows_rejected": 0}, []
+    readings, read = none if "meter_reading" in held else conform_readings(lake, run_id)
+    corrections, fixed = none if "reading_correction" in held else conform_corrections(lake, run_id)
+    days = sorted({*read, *fixed})
+    finalize_readings(lake, run_id, days)
     if "customer" not in held:
         conform_history(lake)
-    return out
+    return {"readings": readings, "corrections": corrections, "days": days}
 
 
 # Mart
@@ -283,14 +290,14 @@ def build_dimensions(lake: Lake) -> None:
     together([lambda n=name, d=df: lake.table(f"mart/{n}").replace(d) for name, df in dims.items()])
 
 
-def build_facts(lake: Lake, run_id: str) -> dict:
-    """Rebuild the days that the run touched, whole: {dates: n}."""
-    readings = lake.df("conformed/meter_reading")
+def build_facts(lake: Lake, run_id: str, touched: list[str] | None = None) -> dict:
+    """Rebuild the days that the run touched, whole: {dates: n, keys: their date keys}. touched, if given, are the days that can have rows of the run."""
+    readings = lake.table("conformed/meter_reading").read(touched)
     mine = readings.where(F.col("last_batch_run_id") == run_id)
     days = mine.select("settlement_date").unionByName(mine.select(F.col("previous_date").alias("settlement_date"))).where("settlement_date is not null").distinct()
     dates = sorted(r[0] for r in days.collect())  # a calendar's days at most
     if not dates:
-        return {"dates": 0}
+        return {"dates": 0, "keys": []}
     keys = [d.year * 10000 + d.month * 100 + d.day for d in dates]
     r = lake.table("conformed/meter_reading").read(dates)
     a = lake.df("conformed/meter_assignment")
@@ -319,12 +326,28 @@ def build_facts(lake: Lake, run_id: str) -> dict:
         F.try_divide(F.col("valid_intervals").cast("double"), F.col("expected_intervals")).alias("completeness"), F.lit(run_id).alias("batch_run_id"),
     )
     lake.table("mart/fact_consumption_daily").overwrite_partitions(daily, keys)
-    return {"dates": len(keys)}
+    # Totals of each day, so that reconciling all controls does not read the facts of all days.
+    totals = lake.table("mart/fact_consumption_daily").read(keys).groupBy("date_key").agg(F.sum("daily_kwh").alias("target_total"), F.sum("valid_intervals").alias("target_count"))
+    lake.table("mart/day_total").overwrite_partitions(totals, keys)
+    return {"dates": len(keys), "keys": keys}
+
+
+DIMENSIONS = {"meter_sk": "dim_meter", "customer_sk": "dim_customer", "tariff_sk": "dim_tariff", "quality_sk": "dim_reading_quality", "date_key": "dim_date", "interval_key": "dim_settlement_interval"}
+
 
+def _lost_references(lake: Lake, facts: DataFrame, prefix: str, keys: tuple[str, ...]) -> DataFrame:
+    """check_name, severity, value, passed: for each key of the facts, how many distinct values its dimension lacks; the facts are read once."""
+    name = lambda k: F.lit(f"{prefix}_orphan_{k}").alias("check_name")
+    used = facts.select(F.explode(F.array(*(F.struct(name(k), F.col(k).cast("long").alias("key")) for k in keys))).alias("r")).select("r.*").where("key is not null").distinct()
+    known = reduce(DataFrame.unionByName, [lake.df(f"mart/{DIMENSIONS[k]}").select(name(k), F.col(k).cast("long").alias("key")) for k in keys])
+    lost = used.join(known, ["check_name", "key"], "left_anti").groupBy("check_name").agg(F.count("*").cast("double").alias("value"))
+    every = lake.spark.range(1).select(F.explode(F.array(*(name(k) for k in keys))).alias("check_name"))
+    return every.join(lost, "check_name", "left").select("check_name", F.lit("error").alias("severity"), F.coalesce("value", F.lit(0.0)).alias("value"), F.col("value").isNull().alias("passed"))
 
-def check_quality(lake: Lake, run_id: str) -> list[dict]:
-    """Grain, references and validity of the mart. Results are kept before anything is raised."""
-    facts, daily, customers = lake.df("mart/fact_meter_reads"), lake.df("mart/fact_consumption_daily"), lake.df("mart/dim_customer")
+
+def check_quality(lake: Lake, run_id: str, keys: list[int] | None = None) -> list[dict]:
+    """Grain, references and validity of the mart, on the days of the given date keys or on all. Results are kept before anything is raised."""
+    facts, daily, customers = lake.table("mart/fact_meter_reads").read(keys), lake.table("mart/fact_consumption_daily").read(keys), lake.df("mart/dim_customer")
     found = checks.evaluate(facts, [
         checks.Check("reading_grain", checks.duplicates("reading_sk")),
         checks.Check("reading_natural_grain", checks.duplicates("meter_sk", "date_key", "interval_key")),
@@ -333,16 +356,15 @@ def check_quality(lake: Lake, run_id: str) -> list[dict]:
     ])
     found = found.unionByName(checks.evaluate(daily, [checks.Check("daily_grain", checks.duplicates("meter_sk", "date_key"))]))
     none = [checks.Check("", F.count("*"))]
-    for prefix, table, keys in (("reads", facts, ("meter_sk", "customer_sk", "tariff_sk", "quality_sk", "date_key", "interval_key")), ("daily", daily, ("meter_sk", "customer_sk", "tariff_sk", "date_key"))):
-        dims = {"meter_sk": "dim_meter", "customer_sk": "dim_customer", "tariff_sk": "dim_tariff", "quality_sk": "dim_reading_quality", "date_key": "dim_date", "interval_key": "dim_settlement_interval"}
-        for k in keys:
-            found = found.unionByName(checks.evaluate(star.orphans(table, lake.df(f"mart/{dims[k]}"), k, k), none).withColumn("check_name", F.lit(f"{prefix}_orphan_{k}")))
+    found = found.unionByName(_lost_references(lake, facts, "reads", ("meter_sk", "customer_sk", "tariff_sk", "quality_sk", "date_key", "interval_key")))
+    found = found.unionByName(_lost_references(lake, daily, "daily", ("meter_sk", "customer_sk", "tariff_sk", "date_key")))
     versions = customers.where(F.col("customer_sk") != UNKNOWN)
     current = versions.groupBy("customer_id").agg(F.sum(F.col("is_current").cast("int")).alias("n")).where("n <> 1")
     found = found.unionByName(checks.evaluate(current, none).withColumn("check_name", F.lit("one_current_version")))
     found = found.unionByName(checks.evaluate(history.overlaps(versions, "customer_id"), none).withColumn("check_name", F.lit("no_overlapping_versions")))
-    results = [r.asDict() for r in found.collect()]
-    lake.table("control/dq_result").overwrite_partitions(found.select(F.lit(run_id).alias("run_id"), "check_name", "severity", "value", "passed", F.current_timestamp().alias("checked_at")))
+    # What is kept is what is judged: written first, then read back.
+    lake.table("control/dq_result").overwrite_partitions(found.select(F.lit(run_id).alias("run_id"), "check_name", "severity", "value", "passed", F.current_timestamp().alias("checked_at")), [run_id])
+    results = [r.asDict() for r in lake.table("control/dq_result").read([run_id]).select("check_name", "severity", "value", "passed").collect()]
     if bad := [r["check_name"] for r in results if not r["passed"] and r["severity"] == "error"]:
         raise DataQualityFailure(f"run {run_id}: {bad}")
     return results
@@ -353,7 +375,7 @@ def reconcile_run(lake: Lake, run_id: str) -> list[dict]:
     raw = _slice(lake, "reconciliation_control").where(~F.col("operation").eqNullSafe("DELETE"))
     controls = rows.latest_by(raw, ["source_name", "period", "control"], F.desc("control_version"), F.desc("created_at"), *_newest(), F.desc("run_id"))
     controls = controls.withColumn("date_key", date_key("period"))
-    built = lake.df("mart/fact_consumption_daily").groupBy("date_key").agg(F.sum("daily_kwh").alias("target_total"), F.sum("valid_intervals").alias("target_count"))
+    built = lake.df("mart/day_total").select("date_key", "target_total", "target_count")
     found = reconcile(controls, built, ["date_key"], lake.threshold_pct)
     found = found.select(
         surrogate("source_name", "control", "date_key", F.lit(run_id)).alias("reconciliation_sk"), "date_key", "source_name", "control", F.col("run_id").alias("control_run_id"), "control_version", F.col("expected_total").alias("source_total"), "target_total",
@@ -372,6 +394,16 @@ def uncontrolled_dates(lake: Lake) -> list[int]:
     return sorted(r[0] for r in uncontrolled(lake.df("mart/fact_consumption_daily"), controls, ["date_key"]).collect())
 
 
+def register_views(lake: Lake) -> list[str]:
+    """A temporary view over the snapshot in force of every table, named layer_table, for SQL on what was published; their names."""
+    names = []
+    for layer in ("raw", "conformed", "mart", "control"):
+        for table in sorted({e.key.split("/")[1] for e in Store(lake.spark, lake.root).list(layer) if e.key.endswith("_snapshots/current.json")}):
+            lake.df(f"{layer}/{table}").createOrReplaceTempView(f"{layer}_{table}")
+            names.append(f"{layer}_{table}")
+    return names
+
+
 def publish(lake: Lake, run_id: str) -> int:
     """Put the days that passed in this run into the report; how many."""
     result = lake.table("mart/fact_reconciliation").read([run_id]).groupBy("date_key").agg(F.bool_and(F.col("status") == PASSED).alias("ok")).where("ok")
@@ -388,8 +420,8 @@ def run_batch(lake: Lake, run_id: str) -> dict:
     held = holds(lake.control)
     out: dict = {"raw": load_raw(lake, run_id), "conformed": conform(lake, run_id, held)}
     build_dimensions(lake)
-    out["facts"] = build_facts(lake, run_id)
-    out["dq"] = check_quality(lake, run_id)
+    out["facts"] = build_facts(lake, run_id, out["conformed"]["days"])
+    out["dq"] = check_quality(lake, run_id, out["facts"].pop("keys"))
     out["reconciliation"] = reconcile_run(lake, run_id)
     out["published_dates"] = publish(lake, run_id)
     return out

@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Collection
+from concurrent.futures import ThreadPoolExecutor
 
 from tidegate.schema import SOURCES, Verdict, compare, families
 from tidegate.sources.files import Store
 
 #: Files that get their time stamp before they appear are seen by looking back this far.
 OVERLAP_MS = 10 * 60 * 1000
+FOOTERS_AT_ONCE = 16
 STATE = "gate/state.json"
 
 
@@ -45,6 +47,9 @@ def run_gate(landing: Store, quarantine: Store, control: Store, run_id: str, sch
     seen = [e for e in landing.list() if e.key.endswith(".parquet") and e.mtime >= state["watermark"] - OVERLAP_MS]
     todo = sorted((e for e in seen if checked.get(e.key) != e.mtime), key=lambda e: (e.mtime, e.key))
     held = holds(control)
+    known_tables = [e for e in todo if e.key.split("/")[0] in tables and e.key.split("/")[0] not in held]
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = dict(zip([e.key for e in known_tables], pool.map(lambda e: schema_of(landing, e.key), known_tables), strict=True))
     passed: dict[str, list[str]] = {}
     quarantined, additive = [], []
     for e in todo:
@@ -55,7 +60,7 @@ def run_gate(landing: Store, quarantine: Store, control: Store, run_id: str, sch
         if table in held:
             reason = "TABLE_HELD"
         else:
-            found = compare(SOURCES[table].landed, schema_of(landing, e.key))
+            found = compare(SOURCES[table].landed, schemas[e.key])
             if found.verdict is Verdict.BREAKING:
                 reason = "BREAKING_SCHEMA"
                 held.add(table)

@@ -6,6 +6,7 @@ Day 1 is a full load with ordinary length; day 2 brings changes and has a clock
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -114,6 +115,14 @@ class Scenario:
         fix = self.valid(1).where(F.col("defect").isNull() & (_share(F.lit("fix"), F.col("reading_id")) < 0.005))
         return fix.select(F.concat(F.lit("COR-"), "reading_id").alias("correction_id"), "reading_id", "meter_id", "reading_ts", F.lit(1).alias("version"), (F.col("consumption_kwh") * F.lit(1.15).cast("decimal(3,2)") + F.lit(0.001).cast("decimal(4,3)")).cast("decimal(18,3)").alias("replacement_kwh"), F.lit("ESTIMATE_REPLACED").alias("reason"), self._at(2, 12).alias("corrected_at"), self._at(2, 12).alias("source_updated_at"))
 
+    def expected(self) -> dict:
+        """What both days have to leave behind: per day the landed, rejected and valid readings and the totals, and the corrections that win."""
+        out: dict = {"corrections": self.corrections().count(), "days": []}
+        for day in (1, 2):
+            total = self.totals(day, corrected=day == 1).first()
+            out["days"].append({"date": DAYS[day - 1], "periods": self.calendar.where(F.col("settlement_date") == F.lit(DAYS[day - 1]).cast("date")).count(), "landed": self.readings(day).count(), "rejected": self.readings(day).count() - total["expected_count"] - self.base_readings(day).where("defect = 'REPLAY'").count(), "valid": total["expected_count"], "total": total["expected_total"]})
+        return out
+
     def totals(self, day: int, corrected: bool) -> DataFrame:
         v = self.valid(day)
         if corrected:
@@ -146,21 +155,18 @@ class Scenario:
             changed = F.col("source_updated_at") if "source_updated_at" in df.columns else self._at(day)
             op = F.lit("I") if day == 1 or name in ("meter_reading", "reading_correction", "reconciliation_control", "supply_point") else F.lit("U")
             df = df.withColumn("dms_commit_ts", changed + F.expr("interval 2 seconds")).select(op.alias("Op"), *df.columns, "dms_commit_ts")
-            part = f"{name}/LOAD00000001.parquet" if day == 1 else f"{name}/{DAYS[1].replace('-', '/')}/{DAYS[1].replace('-', '')}-010000000.parquet"
-            aside = Store(self.spark, f"{landing.root}/../aside")
-            df.coalesce(1).write.mode("overwrite").parquet(aside.uri("one"))
-            written = next(e.key for e in aside.list("one") if e.key.endswith(".parquet"))
-            Moved(aside, written).to(landing, part)
+            part = f"{name}/LOAD0000000" if day == 1 else f"{name}/{DAYS[1].replace('-', '/')}/{DAYS[1].replace('-', '')}-01000000"
+            moved_in(landing, df.coalesce(1), part)
         return len(frames)
 
 
-@dataclass
-class Moved:
-    """A file on its way from one store to a key in another."""
-
-    store: Store
-    key: str
-
-    def to(self, other: Store, key: str) -> None:
-        jvm = self.store._jvm
-        jvm.org.apache.hadoop.fs.FileUtil.copy(self.store._fs, self.store._path(self.key), other._fs, other._path(key), True, True, self.store._conf)
+def moved_in(landing: Store, df: DataFrame, prefix: str) -> int:
+    """Write a table's files beside the landing folder and move them in, complete, as prefix1.parquet and so on; how many."""
+    aside = Store(landing.spark, f"{landing.root}/../aside/{uuid.uuid4().hex}")
+    df.write.parquet(aside.uri("files"))
+    files = [e.key for e in aside.list("files") if e.key.endswith(".parquet")]
+    jvm = landing._jvm
+    for n, key in enumerate(files, 1):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(aside._fs, aside._path(key), landing._fs, landing._path(f"{prefix}{n}.parquet"), True, True, aside._conf)
+    aside.delete("")
+    return len(files)

@@ -105,11 +105,49 @@ class Table:
         now = self.snapshot()
         self._commit(schema, [*(d for d in (now["dirs"] if now else []) if d["value"] not in gone), *new])
 
-    def merge(self, source: DataFrame, key: Sequence[str], guard: Guard | None = None) -> None:
-        """Upsert by key; see merge_rows(). A key that comes twice in the source is an error."""
+    def holding(self, keys: DataFrame, key: Sequence[str]) -> list[str]:
+        """Values of the partitions that have rows of the given keys. Reads the key and partition columns only; as many values as partitions at most."""
+        rows = self.read().select(*key, F.col(self.partition).cast("string").alias("_part"))
+        return sorted(r["_part"] for r in rows.join(keys.select(*key).dropna().distinct(), list(key), "left_semi").select("_part").distinct().collect() if r["_part"] is not None)
+
+    def merge(self, source: DataFrame, key: Sequence[str], guard: Guard | None = None, touched: Sequence | None = None) -> list[str]:
+        """Upsert by key; see merge_rows(). A key that comes twice in the source is an error.
+
+        Of a partitioned table only the partitions that the source's rows stand in, now or before, are read and written;
+        the source's partition values must not be null. touched, if given, are the values that hold the source's keys now.
+        The values written, or [] for a table without partitions.
+        """
         require_unique(source, key)
         now = self.schema()
-        self.replace(source if now is None else merge_rows(self.read(), align(source, now), key, guard))
+        if self.partition is None:
+            self.replace(source if now is None else merge_rows(self.read(), align(source, now), key, guard))
+            return []
+        if now is None:
+            self.append(source)
+            return self.values()
+        held = self.holding(source, key) if touched is None else [str(v) for v in touched]
+        new = [str(r[0]) for r in source.select(F.col(self.partition).cast("string")).distinct().collect()]  # as many as partitions
+        values = sorted({*held, *new})
+        self.overwrite_partitions(merge_rows(self.read(values), align(source, now), key, guard), values)
+        return values
+
+    def delete_keys(self, keys: DataFrame, key: Sequence[str]) -> None:
+        """Remove the rows of the given keys, rewriting the partitions that hold them; null keys match nothing."""
+        values = None if self.partition is None else self.holding(keys, key)
+        left = self.read(values).join(keys.select(*key).dropna().distinct(), list(key), "left_anti").select(*self.schema().names)
+        if values is None:
+            self.replace(left)
+        elif values:
+            self.overwrite_partitions(left, values)
+
+    def create(self, schema: T.StructType) -> None:
+        """An empty table of the given schema, unless there is one already."""
+        if not self.exists():
+            self._commit(schema, [])
+
+    def drop(self) -> None:
+        """Remove the table with all its snapshots and data."""
+        self.store.delete("")
 
     def vacuum(self) -> int:
         """Delete data directories that the snapshot in force doesn't name; older snapshots can't be read any more."""

@@ -45,18 +45,21 @@ class Lake:
     spark: SparkSession
     root: str
     threshold_pct: float = 0.01
+    landing_uri: str | None = None
+    quarantine_uri: str | None = None
+    control_uri: str | None = None
 
     @property
     def landing(self) -> Store:
-        return Store(self.spark, f"{self.root}/landing")
+        return Store(self.spark, self.landing_uri or f"{self.root}/landing")
 
     @property
     def quarantine(self) -> Store:
-        return Store(self.spark, f"{self.root}/quarantine")
+        return Store(self.spark, self.quarantine_uri or f"{self.root}/quarantine")
 
     @property
     def control(self) -> Store:
-        return Store(self.spark, f"{self.root}/control")
+        return Store(self.spark, self.control_uri or f"{self.root}/control")
 
     def table(self, name: str) -> Table:
         return Table(self.spark, f"{self.root}/{name}", "batch_run_id" if name.startswith("raw/") else PARTITIONS.get(name))

@@ -58,3 +58,15 @@ def test_long_links_against_all_segmentations(vocabulary):  # noqa: F811
         found = pieces.Encoder(vocabulary, 3).encode(text)
         whole = vocabulary.n_best(" " + text, 3)
         assert [round(s, 6) for s, _ in found] == [round(s, 6) for s, _ in whole] and all(vocabulary.decode(i) == text for _, i in found)
+
+
+def test_remembered_links_change_nothing(monkeypatch, vocabulary, texts):  # noqa: F811
+    """The same answers from a new encoder for each text, from one that remembers, and from one that often forgets."""
+    some = [t for _, t, *_ in texts if t]
+    want = [pieces.Encoder(vocabulary, 3).encode(t) for t in some]
+    one = pieces.Encoder(vocabulary, 3)
+    assert [one.encode(t) for t in some] == [one.encode(t) for t in some] == want and len(one.seen["key"]) == len(one.seen["slot"]) == len(one.seen["size"]) > 20
+    assert (one.seen["key"][1:] > one.seen["key"][:-1]).all()
+    monkeypatch.setattr(pieces, "CACHE_LINKS", 7)
+    forgetful = pieces.Encoder(vocabulary, 3)
+    assert [forgetful.encode(t) for t in some] == want and len(forgetful.seen["key"]) <= 7

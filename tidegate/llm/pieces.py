@@ -34,7 +34,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN_PENALTY = 10.0
 #: Links of more bytes are searched one by one.
 LONG = 64
-CACHE_LINKS = 50_000
+#: How many links a worker remembers: with their best path, and with all of their N best.
+CACHE_LINKS, CACHE_RANKED = 300_000, 50_000
 _BITS = 22
 
 
@@ -143,14 +144,25 @@ def changed(ids: np.ndarray, changes: list[tuple[int, tuple[int, ...], tuple[int
     return np.concatenate([*parts, ids[end:]]) if parts else ids
 
 
+def equal_bytes(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray, step: int = 20_000) -> np.ndarray:
+    """Which of the ranges a[at : at + size] and b[bt : bt + size], none empty, hold the same bytes."""
+    out = np.ones(len(at), bool)
+    for k in range(0, len(at), step):
+        n = size[k : k + step]
+        first = np.cumsum(n) - n
+        place = np.arange(int(n.sum()))
+        same = a[np.repeat(at[k : k + step] - first, n) + place] == b[np.repeat(bt[k : k + step] - first, n) + place]
+        out[k : k + step] = np.logical_and.reduceat(same, first)
+    return out
+
+
 def split_collisions(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links data[begin:end] in classes by hash (first of each class, class of each link) -> classes of equal bytes."""
     size = end - begin
     like = first[which]
     same = size == size[like]
-    link = np.repeat(np.flatnonzero(same), size[same])
-    step = np.arange(len(link)) - np.repeat(np.cumsum(size[same]) - size[same], size[same])
-    same[link[data[begin[link] + step] != data[begin[like[link]] + step]]] = False
+    others = np.flatnonzero(same & (like != np.arange(len(like))))
+    same[others] = equal_bytes(data, begin[others], data, begin[like[others]], size[others])
     if same.all():
         return first, which
     first, which = first.tolist(), which.copy()
@@ -164,12 +176,18 @@ def split_collisions(data: np.ndarray, begin: np.ndarray, end: np.ndarray, first
     return np.array(first), which
 
 
+def _nothing_seen() -> dict[str, np.ndarray]:
+    kinds = {"key": U64, "slot": np.int64, "raw_at": np.int64, "size": np.int64, "raw": np.uint8, "at": np.int64, "count": np.int64, "best": float, "loss": float, "pool": np.int32}
+    return {k: np.zeros(0, kind) for k, kind in kinds.items()}
+
+
 class Encoder:
     """Segments blocks of texts; made once per worker and vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary, n: int = N_BEST) -> None:
         self.vocabulary, self.n = vocabulary, n
         self.ranked: dict[bytes, list[tuple[float, tuple[int, ...]]]] = {}
+        self.seen = _nothing_seen()
         texts = [p.encode() for p in vocabulary.pieces]
         ids = np.array([i for i, _ in vocabulary.pieces.values()], np.int64)
         scores = np.array([s for _, s in vocabulary.pieces.values()])
@@ -291,10 +309,67 @@ class Encoder:
         out[unknown] = self.vocabulary.unknown if first is None else first + data[(begin[link] + start)[of][unknown] + step[unknown]].astype(np.int64)
         return out.astype(np.int32), np.bincount(link, times, n).astype(np.int64)
 
+    def _solved(self, data: np.ndarray, b: np.ndarray, e: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Best paths of distinct links: (ids of all, where each one's are, how many, best score, loss of the second best).
+
+        What earlier blocks met is not solved again. Links are remembered by their bytes, at most CACHE_LINKS of them.
+        """
+        seen = self.seen
+        place = np.searchsorted(seen["key"], keys)
+        hit = place < len(seen["key"])
+        hit[hit] = seen["key"][place[hit]] == keys[hit]
+        slot = np.zeros(len(keys), np.int64)
+        slot[hit] = seen["slot"][place[hit]]
+        old = np.flatnonzero(hit)
+        old = old[seen["size"][slot[old]] == (e - b)[old]]
+        old = old[equal_bytes(data, b[old], seen["raw"], seen["raw_at"][slot[old]], (e - b)[old])]
+        fresh = np.ones(len(keys), bool)
+        fresh[old] = False
+        at, count, best, loss = np.zeros(len(b), np.int64), np.zeros(len(b), np.int64), np.zeros(len(b)), np.full(len(b), np.inf)
+        for name, values in (("at", at), ("count", count), ("best", best), ("loss", loss)):
+            values[old] = seen[name][slot[old]]
+        small, large = np.flatnonzero(fresh & (e - b <= LONG)), np.flatnonzero(fresh & (e - b > LONG))
+        pools, used = [seen["pool"]], len(seen["pool"])
+        if len(small):
+            ids, count[small], best[small], loss[small] = self.solve(data, b[small], e[small])
+            pools.append(ids)
+            at[small] = used + np.cumsum(count[small]) - count[small]
+            used += len(ids)
+        for k in large.tolist():
+            ranked = self.vocabulary.n_best(data[b[k] : e[k]].tobytes().decode(), self.n)
+            count[k], best[k], at[k] = len(ranked[0][1]), ranked[0][0], used
+            loss[k] = ranked[0][0] - ranked[1][0] if len(ranked) > 1 else np.inf
+            pools.append(np.array(ranked[0][1], np.int32))
+            used += len(ranked[0][1])
+        pool = np.concatenate(pools)
+        self._remember(data, b, e, keys, small, pool, at, count, best, loss)
+        return pool, at, count, best, loss
+
+    def _remember(self, data: np.ndarray, b: np.ndarray, e: np.ndarray, keys: np.ndarray, new: np.ndarray, pool: np.ndarray, at: np.ndarray, count: np.ndarray, best: np.ndarray, loss: np.ndarray) -> None:
+        """Add solved links to those seen; if that would be too many, start anew from these."""
+        if len(self.seen["size"]) + len(new) > CACHE_LINKS:
+            self.seen = _nothing_seen()
+            new = new[:CACHE_LINKS]
+        seen = self.seen
+        order = np.argsort(keys[new], kind="stable")
+        new = new[order]
+        place = np.searchsorted(seen["key"], keys[new])
+        taken = np.zeros(len(new), bool)  # a link whose hash belongs to another one is not remembered
+        taken[1:] = keys[new][1:] == keys[new][:-1]
+        inside = place < len(seen["key"])
+        taken[inside] |= seen["key"][place[inside]] == keys[new][inside]
+        new, place = new[~taken], place[~taken]
+        size, n = (e - b)[new], count[new]
+        raw = np.repeat(b[new] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        ids = np.repeat(at[new] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        slots = len(seen["size"]) + np.arange(len(new))
+        more = {"raw_at": len(seen["raw"]) + np.cumsum(size) - size, "size": size, "raw": data[raw], "at": len(seen["pool"]) + np.cumsum(n) - n, "count": n, "best": best[new], "loss": loss[new], "pool": pool[ids]}
+        self.seen = {k: np.concatenate([seen[k], v]) for k, v in more.items()} | {"key": np.insert(seen["key"], place, keys[new]), "slot": np.insert(seen["slot"], place, slots)}
+
     def ranking(self, link: bytes) -> list[tuple[float, tuple[int, ...]]]:
         """The N best of a link, by the A-star search."""
         if (found := self.ranked.get(link)) is None:
-            if len(self.ranked) >= CACHE_LINKS:
+            if len(self.ranked) >= CACHE_RANKED:
                 self.ranked.clear()
             found = self.ranked[link] = self.vocabulary.n_best(link.decode(), self.n)
         return found
@@ -317,22 +392,7 @@ class Encoder:
         _, first, which = np.unique(hashed, return_index=True, return_inverse=True)
         first, which = split_collisions(data, begin, end, first, which)
         b, e = begin[first], end[first]
-        small = np.flatnonzero(e - b <= LONG)
-        large = np.flatnonzero(e - b > LONG)
-        count, best, loss = np.zeros(len(b), np.int64), np.zeros(len(b)), np.full(len(b), np.inf)
-        pools, at = [np.zeros(0, np.int32)], np.zeros(len(b), np.int64)
-        if len(small):
-            ids, count[small], best[small], loss[small] = self.solve(data, b[small], e[small])
-            pools.append(ids)
-            at[small] = np.cumsum(count[small]) - count[small]
-        used = len(pools[-1])
-        for k in large.tolist():
-            ranked = self.vocabulary.n_best(data[b[k] : e[k]].tobytes().decode(), self.n)
-            count[k], best[k], at[k] = len(ranked[0][1]), ranked[0][0], used
-            loss[k] = ranked[0][0] - ranked[1][0] if len(ranked) > 1 else np.inf
-            pools.append(np.array(ranked[0][1], np.int32))
-            used += len(ranked[0][1])
-        pool = np.concatenate(pools)
+        pool, at, count, best, loss = self._solved(data, b, e, hashed[first])
         of_row = np.searchsorted(begin, offs)
         for row in range(len(offs) - 1):
             links = which[of_row[row] : of_row[row + 1]]
@@ -379,7 +439,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, n
     raw = np.frombuffer(b"".join(vocabulary.raw), np.uint8)
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
-        for lo, hi, part, cut in row_blocks(data, offs):
+        for lo, hi, part, cut in row_blocks(data, offs, 1 << 20):
             ids, count, scores = [], [], []
             for best, ranked in encoder.block(part, cut):
                 ids += [changed(best, changes) for _, changes in ranked]

@@ -31,7 +31,12 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         if conf.get(f"spark.sql.execution.arrow.{name}", None) is None:  # what the caller has set stands
             conf.set(f"spark.sql.execution.arrow.{name}", str(value))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # workers live on between tasks
+
+    return df.mapInArrow(run, schema)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -207,8 +207,8 @@ def _step(model: dict, square: dict, bags: tuple, averages: tuple, n_words: int,
     n = len(y)
     words, inverse = np.unique(np.concatenate([mean, top]) % n_words, return_inverse=True)
     gram, of = _expand(bags, words)
-    per_word = 1 / bags[2][words]
-    vectors = np.stack([np.bincount(of, model["E"][gram, k], len(words)) for k in range(DIM)], axis=1) * per_word[:, None]
+    size = bags[2][words]
+    vectors = np.add.reduceat(model["E"][gram], np.cumsum(size) - size, axis=0) / size[:, None]
     parts = ((mean // n_words, inverse[: len(mean)], share), (top // n_words, inverse[len(mean) :], top_share))
     both = np.concatenate([np.stack([np.bincount(doc, vectors[w, k] * s, n) for k in range(DIM)], axis=1) for doc, w, s in parts], axis=1)
     logit = both @ model["W"] + model["b"]
@@ -216,18 +216,17 @@ def _step(model: dict, square: dict, bags: tuple, averages: tuple, n_words: int,
     p /= p.sum(axis=1, keepdims=True)
     p[np.arange(n), y] -= 1
     p *= (weight / n)[:, None]
-    d_both = p @ model["W"].T
+    # With two classes the columns of p are opposite, so every n-gram is pushed along two directions only.
+    odds = model["W"][:, 1] - model["W"][:, 0]
+    push = [np.bincount(w, p[doc, 1] * s, len(words)) / size for doc, w, s in parts]
     for k, g in (("W", both.T @ p), ("b", p.sum(axis=0))):
         square[k] += g * g
         model[k] -= 0.3 * rate * g / np.sqrt(square[k])
-    d_word = np.zeros((len(words), DIM))
-    for (doc, w, s), d in zip(parts, (d_both[:, :DIM], d_both[:, DIM:]), strict=True):
-        d_word += np.stack([np.bincount(w, d[doc, k] * s, len(words)) for k in range(DIM)], axis=1)
-    d_word *= per_word[:, None]
-    grad = np.stack([np.bincount(gram, d_word[of, k], BUCKETS) for k in range(DIM)], axis=1)
     touched = np.flatnonzero(np.bincount(gram, minlength=BUCKETS))
-    square["E"][touched] += (grad[touched] ** 2).mean(axis=1)
-    model["E"][touched] -= rate * grad[touched] / np.sqrt(square["E"][touched])[:, None]
+    by_mean, by_top = (np.bincount(gram, x[of], BUCKETS)[touched] for x in push)
+    grad = by_mean[:, None] * odds[:DIM] + by_top[:, None] * odds[DIM:]
+    square["E"][touched] += (grad**2).mean(axis=1)
+    model["E"][touched] -= rate * grad / np.sqrt(square["E"][touched])[:, None]
 
 
 def _score_batches(model: dict):

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import html_text, quality, toxicity
+from tidegate.llm import html_text, quality, sql, toxicity
 from tidegate.llm.common import read_table
 from tidegate.llm.decontaminate import contaminated
 from tidegate.llm.exact_dedup import exact_groups
@@ -73,10 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op7_exact_dedup": r"""
-            WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
-            SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
-                   doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
-            FROM n""",
-    }
+    return {"op1_decontamination": sql.CONTAMINATED, "op2_suffix_dedup": sql.REPEATS, "op7_exact_dedup": sql.EXACT}

@@ -8,12 +8,15 @@ these 32 bits are the join key (8 starts x 3 choices), the full chain of budgets
 that meet under a key, and what is left has its Hamming distance counted.
 
 Only distinct fingerprints take part, and a key's fingerprints yield a spanning forest of their
-links rather than all pairs.
+links rather than all pairs. A key with very many fingerprints is split: three bits cannot touch all
+four segments that a key leaves free, so its fingerprints meet again under each of these with its value,
+and no task holds more than the 2**24 fingerprints that five equal segments allow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes
+from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, sent_if_few
 from tidegate.llm.components import connected_components
 
 BITS, SEGMENTS, DISTANCE, SHINGLE = 64, 8, 3, 3
@@ -31,6 +34,10 @@ WIDTH = BITS // SEGMENTS
 CHOICES = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4))
 #: From this many fingerprints under a key on, candidates are looked up by their few possible differences, not found by going through all.
 LOOKUP_FROM = 12_000
+#: A key of this many fingerprints is split by a fifth equal segment.
+SPLIT_FROM = 100_000
+#: Equal segments of a key, and of one that is split.
+EQUAL, EQUAL_SPLIT = 4, 5
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -94,21 +101,40 @@ def within_budget(a: np.ndarray, b: np.ndarray, start: int) -> np.ndarray:
     return ok
 
 
-def _flips(start: int, choice: int) -> np.ndarray:
-    """The differences of 1 to 3 bits that fingerprints under one key can have."""
+def free_segments(code: int, fifth: int | None = None) -> list[int]:
+    """The segments in which fingerprints under one key may differ; `fifth` numbers the one that a split makes equal."""
+    start, choice = divmod(code, len(CHOICES))
     equal = {(start + k) % SEGMENTS for k in CHOICES[choice]}
-    free = [k for k in range(BITS) if k // WIDTH not in equal]
-    return np.array([sum(1 << k for k in c) for n in range(1, DISTANCE + 1) for c in combinations(free, n)], U64)
+    free = [k for k in range(SEGMENTS) if k not in equal]
+    return [k for n, k in enumerate(free) if n != fifth]
+
+
+def split_keys(key: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    """(4, n) keys of five equal segments for fingerprints under keys of four; a pair within 3 bits shares one."""
+    code, out = (key >> U64(WIDTH * EQUAL)).astype(np.int64), np.empty((SEGMENTS - EQUAL, len(fp)), U64)
+    for c in np.unique(code).tolist():
+        at = code == c
+        segments = key[at] & U64(2 ** (WIDTH * EQUAL) - 1)
+        for n, k in enumerate(free_segments(c)):
+            fifth = (fp[at] >> U64(WIDTH * k)) & U64(2**WIDTH - 1)
+            out[n, at] = (U64(c * len(out) + n) << U64(WIDTH * EQUAL_SPLIT)) | (segments << U64(WIDTH)) | fifth
+    return out
+
 
+def _flips(free: list[int]) -> np.ndarray:
+    """The differences of 1 to 3 bits within these segments."""
+    bits = [k for k in range(BITS) if k // WIDTH in free]
+    return np.array([sum(1 << k for k in c) for n in range(1, DISTANCE + 1) for c in combinations(bits, n)], U64)
 
-def bucket_links(fp: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
+
+def bucket_links(fp: np.ndarray, code: int, fifth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within one key's distinct fingerprints, all that the key lets meet.
 
     The chain of budgets prunes all candidates before the full count. In a large bucket the candidates
     are looked up, since the differences that a key allows are fewer than the fingerprints under it.
     """
     n = len(fp)
-    start, choice = divmod(code, len(CHOICES))
+    start = code // len(CHOICES)
     parent = np.arange(n)
 
     def top(x: int) -> int:
@@ -138,7 +164,7 @@ def bucket_links(fp: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
     else:
         order = np.sort(fp)
         index = np.argsort(fp, kind="stable")
-        for flip in _flips(start, choice):
+        for flip in _flips(free_segments(code, fifth)):
             other = fp ^ flip
             at = np.minimum(np.searchsorted(order, other), n - 1)
             found = np.flatnonzero((order[at] == other) & (other > fp))
@@ -156,8 +182,21 @@ def _key_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(fp, len(keys)).view(np.int64))], names=["key", "fp"])
 
 
-def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key; a key's rows may go on in the next batch."""
+def _split_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        key, fp = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64).view(U64) for k in ("key", "fp"))
+        if len(fp):
+            keys = split_keys(key, fp)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(np.tile(fp, len(keys)).view(np.int64))], names=["key", "fp"])
+
+
+def _link_batches(batches: Iterator[pa.RecordBatch], equal: int) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key; a key's rows may go on in the next batch. Keys have 4 equal segments, or 5 where they are split."""
+    fifths = 1 if equal == EQUAL else SEGMENTS - EQUAL
+
+    def read(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and choice of keys as one number, and which segment a split added."""
+        return np.divmod((key >> U64(WIDTH * equal)).astype(np.int64), fifths)
 
     def links(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
@@ -165,7 +204,7 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         u, v = [], []
         # All keys with two fingerprints at once.
         two = cut[:-1][size == 2]
-        start = ((key[two] >> U64(WIDTH * 4)) // U64(len(CHOICES))).astype(np.int64)
+        start = read(key[two])[0] // len(CHOICES)
         for k in range(SEGMENTS):
             at = two[start == k]
             a, b = fp[at], fp[at + 1]
@@ -174,7 +213,8 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             u.append(a[ok])
             v.append(b[ok])
         for at, n in zip(cut[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            a, b = bucket_links(fp[at : at + n], int(key[at] >> U64(WIDTH * 4)))
+            code, fifth = (int(x) for x in read(key[at]))
+            a, b = bucket_links(fp[at : at + n], code, None if equal == EQUAL else fifth)
             u.append(a)
             v.append(b)
         if sum(map(len, u)):
@@ -195,11 +235,20 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from links(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]))
 
 
-def fingerprint_links(distinct: DataFrame) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, split_from: int = SPLIT_FROM) -> DataFrame:
     """distinct(fp long) -> (u, v): links between fingerprints that join all that are within 3 bits."""
     keyed = arrow_map(distinct.select("fp"), _key_batches, "key long, fp long")
-    dealt = keyed.repartition("key").sortWithinPartitions("key")
-    return arrow_map(dealt, _link_batches, "u long, v long")
+
+    def linked(rows: DataFrame, equal: int) -> DataFrame:
+        dealt = rows.repartition("key").sortWithinPartitions("key")
+        return arrow_map(dealt, partial(_link_batches, equal=equal), "u long, v long")
+
+    hot = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= split_from).select("key"))
+    if hot.isEmpty():
+        return linked(keyed, EQUAL)
+    hot = sent_if_few(hot)
+    split = arrow_map(keyed.join(hot, "key", "left_semi"), _split_batches, "key long, fp long")
+    return linked(keyed.join(hot, "key", "left_anti"), EQUAL).unionByName(linked(split, EQUAL_SPLIT))
 
 
 def component_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
@@ -208,7 +257,7 @@ def component_roots(distinct: DataFrame, links: DataFrame) -> DataFrame:
     return distinct.join(component, "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"))
 
 
-def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def simhash_components(docs: DataFrame, shingle: int = SHINGLE, split_from: int = SPLIT_FROM) -> DataFrame:
     """docs(doc_id, text, ...) -> doc_id, fingerprint (16 hex digits), component_id; one row per input row.
 
     Lower-cases A-Z, splits words at space, tab, LF, VT, FF and CR. Null and empty texts have
@@ -219,7 +268,7 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     rows = checkpointed(arrow_map(docs.select("doc_id", "text"), _fingerprint_batches(shingle), "doc_id long, fp long"))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     distinct = rows.select("fp").distinct()
-    labelled = component_roots(distinct, fingerprint_links(distinct)).join(least, "fp")
+    labelled = component_roots(distinct, fingerprint_links(distinct, split_from)).join(least, "fp")
     named = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     names = labelled.select("fp", "root").join(named, "root").select("fp", "component_id")
     return rows.join(names, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

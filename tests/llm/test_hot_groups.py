@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import itertools
+import random
 
 import numpy as np
 import pytest
 
-from tidegate.llm import simhash
+from tests.llm.test_near_exact import brute_sets, copies, similar
+from tidegate.llm import near_dedup, simhash
 from tidegate.llm.common import U64
 
 
@@ -78,3 +80,51 @@ def test_split_keys_link_all_within_three_bits(spark):
     links = simhash.fingerprint_links(table, 3).collect()
     place = {int(x): k for k, x in enumerate(fps.view(np.int64))}
     assert labels(len(fps), [(place[r["u"]], place[r["v"]]) for r in links]) == want
+
+
+def crowd(seed: int) -> list[tuple[int, str]]:
+    """Two templates with many copies each, altered in one to many places, beside other texts and their copies."""
+    rng = random.Random(seed)
+    rows = [t for _, t in copies(seed, 15)]
+    for _ in range(2):
+        words = [f"t{rng.randrange(900)}" for _ in range(120)]
+        for _ in range(70):
+            now = list(words)
+            for k in rng.sample(range(len(now)), rng.choice([1, 1, 2, 4, 7])):
+                now[k] = f"x{rng.randrange(50)}"
+            rows.append(" ".join(now))
+    rows += ["", "", "one two"]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def brute_labels(rows: list[tuple[int, str]]) -> list[int]:
+    sets = [brute_sets(t) if t else set() for _, t in rows]
+    return labels(len(rows), [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if sets[a] == sets[b] or sets[a] and similar(sets[a], sets[b])])
+
+
+@pytest.mark.parametrize("apart", [2, 64])
+def test_held_sets_find_and_join_all_similar_ones(monkeypatch, apart):
+    monkeypatch.setattr(near_dedup, "APART", apart)
+    rows = [(k, t) for k, t in crowd(2) if t]
+    sets = [near_dedup.shingle_set(t.encode()) for _, t in rows]
+    rng = random.Random(1)
+    roots = [rng.choice([k, 1000, 1001]) for k in range(len(rows))]
+    held = near_dedup.HeldSets([(k, roots[k], sets[k]) for k in range(0, len(rows), 2)])
+    links, near = [], []
+    for k in range(1, len(rows), 2):
+        want = [j for j in range(0, len(rows), 2) if roots[j] != roots[k] and similar(set(sets[j].tolist()), set(sets[k].tolist()))]
+        assert sorted(held.similar(roots[k], sets[k])) == want
+        near += [(j, k) for j in want]
+        links += held.links(k, roots[k], sets[k])
+    assert set(links) <= set(near) and len(links) < len(rows) < len(near)  # a forest
+    assert labels(len(rows), links) == labels(len(rows), near)
+
+
+def test_large_groups_in_blocks(spark):
+    rows = crowd(6)
+    want = brute_labels(rows)
+    assert len(set(want)) > 20
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(3)
+    kept = near_dedup.near_dedup(table, band_rows=20, group_bytes=8000)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want))

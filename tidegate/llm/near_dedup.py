@@ -10,6 +10,10 @@ What differs in at most 3 bits of the 64-bit fingerprint (`simhash`) is a candid
 At this radius no exact segment key stays selective, so what is compared are documents that share
 a band; of 24 bands at least one is shared with probability 0.99993 at s = 0.8 and more above. The pigeonring
 chains of the ring of 8 words then prune before the full Hamming check.
+
+No task holds a large group whole. A band of very many sets is not linked by one task but taken as one group; a group of many
+bytes is compared in blocks: all of its sets with a few pivots, and then those outside of its largest component
+with all others, block by block, where sets that are linked already are not compared again.
 """
 
 from __future__ import annotations
@@ -19,16 +23,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix, one_of_each, xxh_id
+from tidegate.llm.common import U64, arrow_map, checkpointed, column_bytes, mix, one_of_each, sent_if_few, xxh_id
+from tidegate.llm.components import connected_components
 from tidegate.llm.simhash import component_roots, fingerprint, fingerprint_links, shingles
 
 SHINGLE, WORDS, RADIUS = 5, 8, 140
 BANDS, DEPTH = 24, 5
 #: Budgets are checked along chains of this many segments before all bits are counted.
 CHAIN = 3
+#: A band of this many sets (72 bytes each) is not linked in one task, but handed on as one group.
+BAND_ROWS = 200_000
+#: A group whose shingle hashes take more bytes is compared in blocks of about this size.
+GROUP_BYTES = 64 << 20
+#: Sets of a large group that are compared with all others first, and from how many linked sets on a block indexes them apart.
+PIVOTS, APART = 16, 64
 _CHUNK = 4096
 _STEP = 0x9E3779B97F4A7C15
 _BIT_SEEDS = mix(np.array([_STEP * k % 2**64 for k in range(1, WORDS + 1)], U64))
@@ -124,7 +135,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         data, offs = column_bytes(batch.column("text"))
         raw, cut = data.tobytes(), offs.tolist()
-        fps, ids, wide, bands = [], [], [], []
+        fps, ids, wide, bands, words = [], [], [], [], []
         for a, b in zip(cut[:-1], cut[1:], strict=True):
             text = raw[a:b]
             fps.append(fingerprint(text))
@@ -133,8 +144,9 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             bits, keys = sketch(hashed)
             wide.append(bits.tobytes())
             bands.append(keys.view(np.int64))
+            words.append(len(hashed))
         fp, ids = (pa.array(np.array(x, U64).view(np.int64)) for x in (fps, ids))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), fp, ids, pa.array(wide, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "th", "fp", "sid", "wide", "bands"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), fp, ids, pa.array(wide, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(words, pa.int64())], names=["doc_id", "th", "fp", "sid", "wide", "bands", "words"])
 
 
 def _group_ids(a: list[int], b: list[int], ids: np.ndarray) -> np.ndarray:
@@ -186,15 +198,21 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from links(*joined())
 
 
-def candidate_groups(rows: DataFrame) -> DataFrame:
+def candidate_groups(rows: DataFrame, band_rows: int = BAND_ROWS) -> DataFrame:
     """rows(fp long, sid long, wide binary, bands array<long>) -> (group, sid): sets that may be similar share a group.
 
     Groups are what the loose radius links within one band; those of the same members in several bands are one.
-    Sets whose 64-bit fingerprints are linked by 3 bits are a group as well.
+    A band of band_rows sets or more is a group as it is. Sets whose 64-bit fingerprints are linked by 3 bits are a group as well.
     """
     keyed = rows.select("sid", "wide", "bands").distinct().select(F.explode("bands").alias("key"), F.col("sid").alias("fp"), "wide")
-    links = arrow_map(keyed.repartition("key").sortWithinPartitions("key"), _link_batches, "u long, v long, group long")
+    hot = checkpointed(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= band_rows).select("key"))
+    crowded = not hot.isEmpty()
+    hot = sent_if_few(hot) if crowded else hot
+    linked = keyed.join(hot, "key", "left_anti") if crowded else keyed
+    links = arrow_map(linked.repartition("key").sortWithinPartitions("key"), _link_batches, "u long, v long, group long")
     wide = links.select("group", F.explode(F.array("u", "v")).alias("sid"))
+    if crowded:
+        wide = wide.unionByName(keyed.join(hot, "key", "left_semi").select(F.col("key").alias("group"), F.col("fp").alias("sid")))
     fps = rows.select("fp").distinct()
     roots = component_roots(fps, fingerprint_links(fps)).join(rows.select("fp", "sid").distinct(), "fp").select("root", "sid").distinct()
     several = roots.groupBy("root").agg(F.count("*").alias("n")).where("n > 1")
@@ -223,16 +241,135 @@ def _exact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from links()
 
 
-def similar_links(rows: DataFrame, docs: DataFrame) -> DataFrame:
+class HeldSets:
+    """Sets that others are compared with: values with the sets that hold them, one index for each large root and one for the rest."""
+
+    def __init__(self, rows: list[tuple[int, int, np.ndarray]]) -> None:
+        by_root: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+        for row in rows:
+            by_root.setdefault(row[1], []).append(row)
+        loose = [row for group in by_root.values() if len(group) < APART for row in group]
+        groups = [(root, group) for root, group in by_root.items() if len(group) >= APART]
+        self.parts = [(root, *self._index(group)) for root, group in [*groups, (None, loose)] if group]
+        self.top: dict[int, int] = {}
+
+    @staticmethod
+    def _index(rows: list[tuple[int, int, np.ndarray]]) -> tuple[np.ndarray, ...]:
+        sids, roots = (np.array([row[k] for row in rows], np.int64) for k in (0, 1))
+        size = np.array([len(row[2]) for row in rows], np.int64)
+        flat = np.concatenate([row[2] for row in rows])
+        order = np.argsort(flat, kind="stable")
+        values, first = np.unique(flat[order], return_index=True)
+        return sids, roots, size, values, np.append(first, len(flat)), np.repeat(np.arange(len(rows), dtype=np.int32), size)[order]
+
+    def similar(self, root: int, hashed: np.ndarray) -> list[int]:
+        """The ids of the sets of other roots with a Jaccard similarity of at least 0.8."""
+        out: list[int] = []
+        for alone, sids, roots, size, values, cut, holders in self.parts:
+            if alone is not None and alone == root:
+                continue
+            at = np.minimum(np.searchsorted(values, hashed), len(values) - 1)
+            at = at[values[at] == hashed]
+            n = cut[at + 1] - cut[at]
+            if not len(n):
+                continue
+            place = np.arange(n.sum()) + np.repeat(cut[at] - np.cumsum(n) + n, n)
+            both = np.bincount(holders[place], minlength=len(sids))
+            out += sids[(9 * both >= 4 * (size + len(hashed))) & (roots != root)].tolist()  # both / (sum of sizes - both) >= 4 / 5
+        return out
+
+    def _find(self, x: int) -> int:
+        while (up := self.top.setdefault(x, x)) != x:
+            self.top[x] = self.top[up]
+            x = self.top[x]
+        return x
+
+    def links(self, sid: int, root: int, hashed: np.ndarray) -> list[tuple[int, int]]:
+        """Links of a set that join it to all of its similar ones; those that earlier links joined to one another need one only."""
+        out, seen = [], set()
+        for other in self.similar(root, hashed):
+            top = self._find(other)
+            if top not in seen:
+                seen.add(top)
+                out.append((other, sid))
+        for top in seen:
+            self.top[top] = min(seen)
+        return out
+
+
+def _cell_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cell, passes, sid, root, text) sorted by cell and passes -> links of sets that pass with those held in their cell."""
+    now, rows, held = None, [], None
+    for batch in batches:
+        data, offs = column_bytes(batch.column("text"))
+        raw, cut = data.tobytes(), offs.tolist()
+        out: list[tuple[int, int]] = []
+        for k, (cell, passes, sid, root) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("cell", "passes", "sid", "root")), strict=True)):
+            if cell != now:
+                now, rows, held = cell, [], None
+            hashed = shingle_set(raw[cut[k] : cut[k + 1]])
+            if not len(hashed):
+                continue
+            if not passes:
+                rows.append((sid, root, hashed))
+                continue
+            if rows and held is None:
+                held, rows = HeldSets(rows), []
+            if held is not None:
+                out += held.links(sid, root, hashed)
+        if out:
+            u, v = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def large_group_links(members: DataFrame, texts: DataFrame, group_bytes: int) -> DataFrame:
+    """members(group, sid, th, words, blocks), texts(th, text) -> (u, v): links that join all similar sets of each group.
+
+    A task holds PIVOTS sets, or about group_bytes of the sets outside of the group's largest component, and streams the others.
+    """
+
+    def compared(held: DataFrame, passing: DataFrame) -> DataFrame:
+        both = held.withColumn("passes", F.lit(False)).unionByName(passing.withColumn("passes", F.lit(True)))
+        dealt = both.select(F.xxhash64("group", "cut", "block").alias("cell"), "passes", "sid", "root", "th").join(texts, "th").drop("th")
+        return arrow_map(dealt.repartition("cell").sortWithinPartitions("cell", "passes"), _cell_batches, "u long, v long")
+
+    def each(n: str, name: str) -> F.Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)).alias(name)
+
+    row = ["group", "sid", "th"]
+    members = members.withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
+    first = members.withColumn("_r", F.row_number().over(Window.partitionBy("group").orderBy("sid"))).where(F.col("_r") <= PIVOTS)
+    own, no_cut = F.col("sid").alias("root"), F.lit(0).cast("long").alias("cut")
+    near = checkpointed(compared(first.select(*row, own, no_cut, each("blocks", "block")), members.select(*row, own, no_cut, "block")))
+    component = connected_components(near).withColumnsRenamed({"node": "sid", "component": "root"})
+    placed = checkpointed(members.join(component, "sid", "left").withColumn("root", F.coalesce("root", "sid")))
+    main = placed.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    rest = checkpointed(placed.join(sent_if_few(checkpointed(main)), "group").where("root <> main").drop("main"))
+    cuts = sent_if_few(checkpointed(rest.groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.sum("words") * 8 / group_bytes)).cast("long").alias("cuts"))))
+    held = rest.join(cuts, "group").withColumn("cut", F.pmod(F.xxhash64(F.lit(1), "sid"), "cuts"))
+    passing = placed.join(cuts, "group").select(*row, "root", each("cuts", "cut"), "block")
+    return near.unionByName(compared(held.select(*row, "root", "cut", each("blocks", "block")), passing))
+
+
+def similar_links(rows: DataFrame, docs: DataFrame, band_rows: int = BAND_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """rows as sketched, docs(th long, text) -> (u, v): links that join all candidates of similarity 0.8 or more."""
-    one = rows.groupBy("sid").agg(F.min("th").alias("th"))
-    members = checkpointed(candidate_groups(rows).join(one, "sid"))
+    one = rows.groupBy("sid").agg(F.min("th").alias("th"), F.max("words").alias("words"))
+    members = checkpointed(candidate_groups(rows, band_rows).join(one, "sid"))
     texts = docs.join(members.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"])
-    dealt = members.join(texts, "th").select("group", "sid", "text").repartition("group").sortWithinPartitions("group")
-    return arrow_map(dealt, _exact_batches, "u long, v long")
+
+    def linked(some: DataFrame) -> DataFrame:
+        dealt = some.join(texts, "th").select("group", "sid", "text").repartition("group").sortWithinPartitions("group")
+        return arrow_map(dealt, _exact_batches, "u long, v long")
+
+    blocks = F.ceil(F.sum("words") * 8 / group_bytes).cast("long")
+    large = checkpointed(members.groupBy("group").agg(blocks.alias("blocks")).where("blocks > 1"))
+    if large.isEmpty():
+        return linked(members)
+    large = sent_if_few(large)
+    return linked(members.join(large, "group", "left_anti")).unionByName(large_group_links(members.join(large, "group"), texts, group_bytes))
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
+def near_dedup(docs: DataFrame, band_rows: int = BAND_ROWS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """docs(doc_id, text, ...) with one row of each near-duplicate group, that of smallest doc_id; all columns unchanged.
 
     Groups are what links join over any number of steps: pairs of Jaccard similarity 0.8 or more of their
@@ -243,9 +380,9 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     """
     th = xxh_id(F.coalesce("text", F.lit("")))
     hashed = docs.select("doc_id", th.alias("th"), "text")
-    rows = checkpointed(arrow_map(hashed, _sketch_batches, "doc_id long, th long, fp long, sid long, wide binary, bands array<long>"))
+    rows = checkpointed(arrow_map(hashed, _sketch_batches, "doc_id long, th long, fp long, sid long, wide binary, bands array<long>, words long"))
     distinct = rows.select(F.col("sid").alias("fp")).distinct()
-    roots = component_roots(distinct, similar_links(rows, hashed.select("th", "text"))).withColumnRenamed("fp", "sid")
+    roots = component_roots(distinct, similar_links(rows, hashed.select("th", "text"), band_rows, group_bytes)).withColumnRenamed("fp", "sid")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     first = rows.groupBy("sid").agg(F.min(least).alias("first"))
     stay = first.join(roots, "sid").groupBy("root").agg(F.min("first").alias("stay"))

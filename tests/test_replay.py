@@ -21,6 +21,15 @@ def test_query_against_sql(spark, con, name):
     assert spark_rows(FOUND[name](spark, SF)) == sql_rows(con, SQL[name])
 
 
+def test_half_hours_of_zero(spark, tmp_path):
+    """Those that are to be spoilt as negative are rejected as such, though nothing negated is nothing."""
+    con = connect(SF)
+    con.execute(f"COPY (SELECT * REPLACE (IF(event_id % 89 = 0 OR event_id % 10 = 0, 0.0, value) AS value) FROM events) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con = connect(str(tmp_path))
+    for name in ("batch_readings", "batch_rejects", "batch_facts", "batch_daily", "batch_reconciliation", "batch_report", "batch_rerun"):
+        assert spark_rows(FOUND[name](spark, str(tmp_path))) == sql_rows(con, SQL[name]), name
+
+
 def test_only_the_days_of_a_run_are_written(spark):
     """Directories of days that a run did not touch are the same in the snapshots before and after it."""
     lake, _ = replayed(spark, SF)

@@ -91,11 +91,14 @@ class Replay:
         }
 
     def readings(self, run: int) -> DataFrame:
-        """First versions of the run's half hours, repeats with twice the value, and late versions of the first run's."""
+        """First versions of the run's half hours, repeats with twice the value, and late versions of the first run's.
+
+        What is spoilt as negative is below zero whatever its half hour's value, zero included.
+        """
         mine = "early" if run == 1 else "NOT early"
         columns = "half AS reading_ts, half + interval 30 minutes AS interval_end, {} AS version, CAST({} AS DECIMAL(18,3)) AS consumption_kwh, {} AS reading_type, 'A' AS quality_code, {} AS source_updated_at"
         end = "half + interval 30 minutes"
-        first = columns.format(1, "CASE defect WHEN 'NULL_CONSUMPTION' THEN null WHEN 'NEGATIVE_CONSUMPTION' THEN -kwh ELSE kwh END", "IF(defect <=> 'INVALID_READING_TYPE', 'OTHER', 'HALF_HOURLY')", end)
+        first = columns.format(1, "CASE defect WHEN 'NULL_CONSUMPTION' THEN null WHEN 'NEGATIVE_CONSUMPTION' THEN -1 - abs(coalesce(kwh, 0)) ELSE kwh END", "IF(defect <=> 'INVALID_READING_TYPE', 'OTHER', 'HALF_HOURLY')", end)
         lost = "defect <=> 'UNKNOWN_METER'"
         sql = f"SELECT IF({lost}, concat('X', id), id) AS reading_id, IF({lost}, 'NOBODY', concat('M', user_id)) AS meter_id, {first} FROM r WHERE {mine}"
         sql += f" UNION ALL SELECT id, concat('M', user_id), {columns.format(2, 'kwh * 2', repr('HALF_HOURLY'), end)} FROM v WHERE again AND {mine}"

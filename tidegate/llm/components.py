@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import checkpointed
+from tidegate.llm.common import checkpointed, shuffles_freed
 
 MAX_ROUNDS = 60
 
@@ -18,7 +18,7 @@ MAX_ROUNDS = 60
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -28,6 +28,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether each edge goes from a leaf to its centre: no node has two smaller neighbours, or a smaller and a larger one."""
+    with shuffles_freed(edges.sparkSession):
+        ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges(u long, v long) -> (node, component): component is the smallest node reachable.
 
@@ -36,11 +43,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """
     now = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     now = checkpointed(now)
-    mark = None
     for _ in range(MAX_ROUNDS):
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == mark or seen[0] == 0:
+        if _all_stars(now):
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        mark = seen
         now = checkpointed(_small_star(_large_star(now)))
     raise RuntimeError("components did not settle")
